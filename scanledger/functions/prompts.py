@@ -104,10 +104,16 @@ def render(template: str, **values: Column) -> Column:
     return F.concat(*pieces) if pieces else F.lit("")
 
 
-def label_prompt(text: Column, concepts: tuple[str, ...] = tuple(CONCEPT_QUESTIONS)) -> Column:
-    """The prompt asking for labels and quotes of every concept in ``text``."""
+def label_prompt_parts(concepts: tuple[str, ...] = tuple(CONCEPT_QUESTIONS)) -> tuple[str, str]:
+    """What stands before and after the report text in the label prompt."""
     schema = json.dumps(
         {"labels": dict.fromkeys(concepts, 0), "evidence": {c: [] for c in concepts}}, indent=2
     )
     opening = f"{LABEL_HEADER}{schema}\n\n{LABEL_KEYS_LINE}{', '.join(concepts)}\n\n{LABEL_TEXT_OPEN}"
-    return F.concat(F.lit(opening), F.coalesce(text, F.lit("")), F.lit(LABEL_TEXT_CLOSE))
+    return opening, LABEL_TEXT_CLOSE
+
+
+def label_prompt(text: Column, concepts: tuple[str, ...] = tuple(CONCEPT_QUESTIONS)) -> Column:
+    """The prompt asking for labels and quotes of every concept in ``text``."""
+    opening, closing = label_prompt_parts(concepts)
+    return F.concat(F.lit(opening), F.coalesce(text, F.lit("")), F.lit(closing))

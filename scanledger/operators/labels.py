@@ -28,6 +28,7 @@ from ..functions.fixed_values import (
     WINDOW_BEFORE,
 )
 from ..functions.text import any_of, eligible_text, fold, matches, pattern, sentences
+from ..session import settle
 from .lexicon import ConceptRule, LesionRule, check_lexicon, default_lexicon
 
 ABSENT, PRESENT, UNCERTAIN = 0, 1, -1
@@ -255,7 +256,7 @@ def label_results(
         labelled = labelled.withColumns(
             {n: F.when(F.col(f"{_GATE}{i}"), _lesion_result(r)).otherwise(_nothing()) for n, (i, r) in lesions.items()}
         )
-    return labelled.select(*kept, *[F.col(f"`{r.name}`") for r in rules])
+    return settle(labelled.select(*kept, *[F.col(f"`{n}`") for n in names_of(rules)]), {n: F.col(f"`{n}`") for n in names_of(rules)})
 
 
 def names_of(rules: Sequence[Rule] | None) -> list[str]:
@@ -289,13 +290,16 @@ def to_wide(results: DataFrame, names: Sequence[str], id_col: str = "report_id")
     return results.select(*columns)
 
 
-def to_nested(results: DataFrame, names: Sequence[str], id_col: str = "report_id") -> DataFrame:
-    """One row per report with a label map and an evidence map."""
+def to_nested(
+    results: DataFrame, names: Sequence[str], id_col: str = "report_id", extra: Sequence[str] = ()
+) -> DataFrame:
+    """One row per report with a label map, an evidence map and ``extra`` columns."""
     keys = F.array(*[F.lit(n) for n in names])
     return results.select(
         F.col(f"`{id_col}`").alias("report_id"),
         F.map_from_arrays(keys, F.array(*[F.col(f"`{n}`")["label"] for n in names])).alias("labels"),
         F.map_from_arrays(keys, F.array(*[F.col(f"`{n}`")["evidence"] for n in names])).alias("evidence"),
+        *extra,
     )
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "scanledger", **conf: str) -> SparkSession:
@@ -51,3 +52,17 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once, here.
+
+    Spark moves a filter on a computed column below it by copying the whole
+    expression.  For a regular expression over a report that means doing the
+    work again, and for columns built on each other the copies multiply.  Rows
+    that come out of a generator stop that, and filters on other columns still
+    move down to the scan.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))
