@@ -21,6 +21,9 @@ TABLES = (
 ).split()
 
 
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def plain(value):
     if value is None:
         return None
@@ -51,6 +54,14 @@ def compare(spark, con, sf_dir, name, query, sql):
     took = f"spark {middle - start:.1f}s duckdb {time.time() - middle:.1f}s"
     if sorted(columns) != sorted(df.columns):
         return f"FAIL columns {sorted(df.columns)} against {sorted(columns)}"
+    types = {d[0]: str(d[1]) for d in result.description}
+    differ = [
+        f"{f.name} {f.dataType.simpleString()}/{types[f.name]}"
+        for f in df.schema
+        if SQL_TYPES.get(f.dataType.simpleString()) != types[f.name]
+    ]
+    if differ:
+        return f"FAIL types {differ}"
     if got == want:
         return f"ok, {len(got)} rows, {took}"
     only_got = [r for r in got if r not in set(want)][:2]
