@@ -101,43 +101,31 @@ def json_block(text: Column) -> Column:
     return F.try_parse_json(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")))
 
 
-def coerced_label(payload: Column, concept: str) -> Column:
-    """``labels.<concept>`` as -1, 0 or 1; anything else is 0.
+def coerced_label(value: Column) -> Column:
+    """A JSON value as -1, 0 or 1; anything else is 0.
 
     Numbers are cut to whole ones, true counts as 1, and a text must spell a
     whole number ("1" but not "1.0").
     """
-    value = _at(payload, f"$.labels['{concept}']")
     kind = F.schema_of_variant(value)
     text = strip(F.try_variant_get(value, "$", "string"))
-    from_text = (
-        F.when(text.rlike(r"^\+?(0_?)*1$"), 1).when(text.rlike(r"^-(0_?)*1$"), -1).otherwise(0)
-    )
+    spelled = F.when(text.rlike(r"^\+?(0_?)*1$"), 1).when(text.rlike(r"^-(0_?)*1$"), -1).otherwise(0)
     number = F.try_variant_get(value, "$", "double")
     whole = F.when((number >= 1) & (number < 2), 1).when((number <= -1) & (number > -2), -1).otherwise(0)
-    truth = F.when(F.try_variant_get(value, "$", "boolean"), 1).otherwise(0)
     return (
-        F.when(value.isNull() | kind.isin("VOID"), 0)
-        .when(kind == "STRING", from_text)
-        .when(kind == "BOOLEAN", truth)
-        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), 0)
-        .otherwise(whole)
+        F.when(kind == "STRING", spelled)
+        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int"))
+        .when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), whole)
+        .otherwise(0)
         .cast("int")
     )
 
 
-def coerced_evidence(payload: Column, concept: str) -> Column:
-    """``evidence.<concept>`` as a list of texts that are not blank."""
-    path = f"$.evidence['{concept}']"
-    many = F.try_variant_get(payload, path, "array<variant>")
-    one = F.try_variant_get(payload, path, "string")
-    as_text = F.transform(many, _spelled)
-    listed = F.when(many.isNotNull(), as_text).when(
-        F.schema_of_variant(_at(payload, path)) == "STRING", F.array(one)
-    )
-    return F.coalesce(
-        F.filter(listed, lambda q: strip(q) != ""), F.array().cast("array<string>")
-    )
+def coerced_evidence(value: Column) -> Column:
+    """A JSON value as a list of texts that are not blank."""
+    many = F.transform(F.try_variant_get(value, "$", "array<variant>"), _spelled)
+    one = F.when(F.schema_of_variant(value) == "STRING", F.array(F.try_variant_get(value, "$", "string")))
+    return F.filter(F.coalesce(many, one, F.array().cast("array<string>")), lambda q: strip(q) != "")
 
 
 def _spelled(value: Column) -> Column:

@@ -28,6 +28,11 @@ def pattern(regex: str) -> str:
     return f"(?iUd){regex}"
 
 
+def sql_text(value: str) -> str:
+    """A text as a Spark SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def any_of(regexes) -> str:
     return pattern("|".join(f"(?:{r})" for r in regexes))
 

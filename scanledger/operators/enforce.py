@@ -18,13 +18,34 @@ from ..session import settle
 from .labels import ABSENT, PRESENT, UNCERTAIN, _bind, _result, label_results
 
 CONCEPTS = tuple(fixed.CONCEPT_QUESTIONS)
-_SQUEEZED, _ELIGIBLE, _PAYLOAD = "__squeezed", "__eligible", "__payload"
+_SQUEEZED, _ELIGIBLE, _PAYLOAD, _RESULTS = "__squeezed", "__eligible", "__payload", "__results"
+
+
+def _field(payload: Column, name: str) -> Column:
+    """A JSON object as a map of its values; empty if it is something else."""
+    empty = F.create_map().cast("map<string,variant>")
+    return F.coalesce(F.try_variant_get(payload, f"$.{name}", "map<string,variant>"), empty)
+
+
+def _columns_of(df: DataFrame, results: Column, concepts: Sequence[str]) -> DataFrame:
+    """An array of results, in the order of the concepts, as one column each."""
+    listed = settle(df, {_RESULTS: results})
+    taken = {c: F.get(F.col(_RESULTS), F.lit(i)) for i, c in enumerate(concepts)}
+    return listed.withColumns(taken).drop(_RESULTS)
 
 
 def parse_labels(df: DataFrame, payload_col: str, concepts: Sequence[str] = CONCEPTS) -> DataFrame:
     """Add one result column per concept from a payload of labels and evidence."""
     payload = F.col(f"`{payload_col}`")
-    return settle(df, {c: _result(coerced_label(payload, c), coerced_evidence(payload, c)) for c in concepts})
+    read = df.withColumns({"__labels": _field(payload, "labels"), "__evidence": _field(payload, "evidence")})
+    results = F.transform(
+        F.array(*[F.lit(c) for c in concepts]),
+        lambda c: _result(
+            coerced_label(F.try_element_at(F.col("__labels"), c)),
+            coerced_evidence(F.try_element_at(F.col("__evidence"), c)),
+        ),
+    )
+    return _columns_of(read, results, concepts).drop("__labels", "__evidence")
 
 
 def _quoted(result: Column) -> Column:
@@ -64,7 +85,8 @@ def enforce_labels(df: DataFrame, text_col: str, concepts: Sequence[str] = CONCE
     checked = df.withColumn(_ELIGIBLE, eligible_text(F.col(f"`{text_col}`"))).withColumn(
         _SQUEEZED, F.lower(squeeze(F.col(_ELIGIBLE)))
     )
-    checked = settle(checked, {c: _quoted(F.col(f"`{c}`")) for c in concepts})
+    given = F.array(*[F.col(f"`{c}`") for c in concepts])
+    checked = _columns_of(checked, F.transform(given, _quoted), concepts)
     if "coronary_calcification" in concepts:
         checked = checked.withColumn("coronary_calcification", _coronary(F.col("coronary_calcification")))
     if {"renal_cyst", "renal_hypodensities"} <= set(concepts):

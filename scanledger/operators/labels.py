@@ -13,7 +13,6 @@ sentences; only sentences that match a concept are judged.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +26,7 @@ from ..functions.fixed_values import (
     WINDOW_AFTER,
     WINDOW_BEFORE,
 )
-from ..functions.text import any_of, eligible_text, fold, matches, pattern, sentences
+from ..functions.text import any_of, eligible_text, fold, matches, pattern, sentences, sql_text
 from ..session import settle
 from .lexicon import ConceptRule, LesionRule, check_lexicon, default_lexicon
 
@@ -41,14 +40,6 @@ Rule = ConceptRule | LesionRule
 # --- judging one sentence ---------------------------------------------------
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _all(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def is_uncertain(sentence: Column) -> Column:
     """An uncertainty cue anywhere in the sentence."""
     return sentence.rlike(any_of(UNCERTAINTY_CUES))
@@ -63,36 +54,45 @@ def is_negated(sentence: Column, before: Column) -> Column:
     return F.right(before, F.lit(WINDOW_BEFORE)).rlike(any_of(NEGATION_CUES)) | matches(after, NEGATION_AFTER)
 
 
-def _counts_for(rule: Rule, part: Column) -> Column:
-    """Can this sentence say anything about the concept?  Cheap tests first."""
-    sentence = part["sent"]
-    tests = [_anchored(rule, part["folded"])] if rule.anchors else []
+# The parts that differ from rule to rule are written as SQL text, one expression
+# per rule: a lexicon of many rules is then a short plan to build.
+
+
+def _matches_sql(text: str, regexes: Sequence[str]) -> str:
+    return f"{text} RLIKE {sql_text(any_of(regexes))}"
+
+
+def _anchored(rule: Rule, folded: str) -> str:
+    """Does the folded text hold an anchor of the rule?"""
+    tests = [f"contains({folded}, {sql_text(a)})" for a in rule.anchors]
+    return f"({' OR '.join(tests)})" if tests else "TRUE"
+
+
+def _counts_for(rule: Rule) -> str:
+    """Can the sentence ``p`` say anything about the concept?  Cheap tests first."""
+    tests = [_anchored(rule, "p.folded")] if rule.anchors else []
     if isinstance(rule, LesionRule):
-        return _all(tests + [matches(sentence, rule.context), matches(sentence, rule.mention)])
-    tests.append(sentence.rlike(any_of(rule.mentions + rule.always_present)))
-    tests += [matches(sentence, r) for r in rule.require]
-    tests += [~matches(sentence, r) for r in rule.forbid]
-    return _all(tests)
+        tests += [_matches_sql("p.sent", [r]) for r in (rule.context, rule.mention)]
+    else:
+        tests.append(_matches_sql("p.sent", rule.mentions + rule.always_present))
+        tests += [_matches_sql("p.sent", [r]) for r in rule.require]
+        tests += [f"NOT ({_matches_sql('p.sent', [r])})" for r in rule.forbid]
+    return " AND ".join(tests)
 
 
-def _evidence_for(rule: ConceptRule, part: Column) -> Column:
-    """What the patterns of one rule find in a sentence that counts.
+def _found(rule: ConceptRule, gate: str) -> str:
+    """What the patterns of a rule find in the sentences that count, null behind its gate.
 
     ``cuts`` holds the sentence cut at the first match of each mention pattern,
     or whole where the pattern does not occur.
     """
-    sent = part["sent"]
-    sure = sent.rlike(any_of(rule.always_present)) if rule.always_present else F.lit(False)
-    special = sent.rlike(any_of(rule.special_uncertain)) if rule.special_uncertain else F.lit(False)
-    cuts = F.array(*[F.split(sent, pattern(m), 2) for m in rule.mentions])
-    return F.struct(
-        F.lit(rule.name).alias("concept"),
-        part["idx"].alias("idx"),
-        sent.alias("sent"),
-        sure.alias("sure"),
-        special.alias("special"),
-        cuts.cast("array<array<string>>").alias("cuts"),
-    )
+    sure = _matches_sql("p.sent", rule.always_present) if rule.always_present else "FALSE"
+    special = _matches_sql("p.sent", rule.special_uncertain) if rule.special_uncertain else "FALSE"
+    cuts = ", ".join(f"split(p.sent, {sql_text(pattern(m))}, 2)" for m in rule.mentions)
+    return f"""CASE WHEN {gate} THEN transform(
+        filter({_PARTS}, p -> {_counts_for(rule)}),
+        p -> named_struct('concept', {sql_text(rule.name)}, 'idx', p.idx, 'sent', p.sent, 'sure', {sure},
+                          'special', {special}, 'cuts', CAST(array({cuts}) AS ARRAY<ARRAY<STRING>>))) END"""
 
 
 def _verdict(found: Column) -> Column:
@@ -193,7 +193,7 @@ def _lesion_verdict(rule: LesionRule, sent: Column) -> Column:
 
 
 def _lesion_result(rule: LesionRule) -> Column:
-    hits = F.filter(F.col(_PARTS), lambda p: _counts_for(rule, p))
+    hits = F.expr(f"filter({_PARTS}, p -> {_counts_for(rule)})")
     verdicts = F.transform(hits, lambda p: _lesion_verdict(rule, p["sent"]))
     explained = F.col(f"`{rule.yields_to}`")["label"] == PRESENT
 
@@ -206,26 +206,18 @@ def _lesion_result(rule: LesionRule) -> Column:
 # --- labelling reports ----------------------------------------------------------
 
 
-def _anchored(rule: Rule, folded: Column) -> Column:
-    return _any([F.contains(folded, F.lit(a)) for a in rule.anchors]) if rule.anchors else F.lit(True)
-
-
 def _prepare(reports: DataFrame, rules: Sequence[Rule], text_col: str, mode: str) -> DataFrame:
     """Add the gates, the numbered sentences and the verdicts of each concept rule."""
     gates = [f"{_GATE}{i}" for i in range(len(rules))]
     prepared = (
         reports.withColumn(_TEXT, eligible_text(F.col(f"`{text_col}`"), mode))
         .withColumn(_FOLDED, fold(F.col(_TEXT)))
-        .withColumns({g: _anchored(r, F.col(_FOLDED)) for g, r in zip(gates, rules)})
-        .withColumn(_PARTS, F.when(_any([F.col(g) for g in gates]), _numbered(F.col(_TEXT))))
+        .selectExpr("*", *[f"{_anchored(r, _FOLDED)} AS {g}" for g, r in zip(gates, rules)])
+        .withColumn(_PARTS, F.when(F.expr(" OR ".join(gates)), _numbered(F.col(_TEXT))))
     )
-
-    def found(gate: str, rule: ConceptRule) -> Column:
-        hits = F.filter(F.col(_PARTS), lambda p: _counts_for(rule, p))
-        return F.when(F.col(gate), F.transform(hits, lambda p: _evidence_for(rule, p)))
-
-    per_rule = F.array(*[found(g, r) for g, r in zip(gates, rules) if isinstance(r, ConceptRule)])
-    return prepared.withColumn(_VERDICTS, F.transform(per_rule, lambda sents: F.transform(sents, _verdict)))
+    per_rule = [_found(r, g) for g, r in zip(gates, rules) if isinstance(r, ConceptRule)]
+    found = F.expr(f"array({', '.join(per_rule)})")
+    return prepared.withColumn(_VERDICTS, F.transform(found, lambda sents: F.transform(sents, _verdict)))
 
 
 def _numbered(text: Column) -> Column:
