@@ -31,9 +31,10 @@ class StageStore:
 
     def load(self, spark: SparkSession, stage: str) -> DataFrame | None:
         """The stored rows, or None before the first write."""
+        location = self.location(stage)
         schema = ", ".join(f"{c} string" for c in STAGE_COLUMNS[stage])
         try:
-            return spark.read.schema(schema).parquet(self.location(stage))
+            return spark.read.schema(schema).parquet(location)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None

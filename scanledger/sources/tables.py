@@ -41,7 +41,8 @@ def read_stage_table(spark: SparkSession, stage: str, path: str) -> DataFrame:
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Final results, one JSON object per line with its report_id."""
-    return _with_answers(spark.read.schema(f"report_id: string, {_FIELDS}").json(path))
+    fields = ", ".join(f"{name} {kind}" for name, kind in RESULT_FIELDS.items())
+    return _with_answers(spark.read.schema(f"report_id string, {fields}").json(path))
 
 
 def read_results_document(spark: SparkSession, path: str) -> DataFrame:
