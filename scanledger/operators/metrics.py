@@ -342,4 +342,4 @@ def require_matches(cases: DataFrame) -> DataFrame:
 def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of ``left`` that ``right`` lacks, each once."""
     keys = list(keys)
-    return left.select(*keys).distinct().join(right.select(*keys), keys, "left_anti")
+    return left.select(*keys).distinct().join(right.select(*keys).distinct(), keys, "left_anti")

@@ -52,10 +52,14 @@ def question_digest(question: str) -> str:
 
 
 def pending(candidates: DataFrame, done: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Candidates whose key is not among the finished rows."""
+    """Candidates whose key is not among the finished rows.
+
+    Finished keys are made distinct first, with a map-side part: a key that is
+    repeated without bound is one row by the time it meets the join.
+    """
     if done is None:
         return candidates
-    return candidates.join(done.select(*keys), list(keys), "left_anti")
+    return candidates.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def _fan_out(inputs: DataFrame, rows: Column, done: DataFrame | None, keys: Sequence[str]) -> DataFrame:
@@ -69,7 +73,7 @@ def _fan_out(inputs: DataFrame, rows: Column, done: DataFrame | None, keys: Sequ
         return inputs.select("*", F.inline(rows))
     own = [k for k in keys if k != "report_id"]
     key = F.struct(*own)
-    finished = done.select(*keys).distinct().groupBy("report_id").agg(F.collect_list(key).alias("__done"))
+    finished = done.groupBy("report_id").agg(F.collect_set(key).alias("__done"))
     joined = inputs.join(finished, "report_id", "left")
     open_rows = F.filter(
         rows,

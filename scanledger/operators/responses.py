@@ -61,12 +61,12 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def match_responses(requests: DataFrame, responses: DataFrame, keys: Sequence[str] = ("request_id",)) -> DataFrame:
-    """Requests with the content that came back for them."""
+    """Requests with the content that came back for them, one response per key."""
     return requests.join(responses, list(keys), "inner")
 
 
 def fill_missing(requests: DataFrame, responses: DataFrame, keys: Sequence[str] = ("request_id",)) -> DataFrame:
-    """Requests with their content, empty where none came back."""
+    """Requests with their content, empty where none came back; one response per key."""
     return requests.join(responses, list(keys), "left").withColumn(
         "content", F.coalesce(F.col("content"), F.lit(""))
     )
@@ -74,7 +74,7 @@ def fill_missing(requests: DataFrame, responses: DataFrame, keys: Sequence[str]
 
 def missing_requests(requests: DataFrame, responses: DataFrame, keys: Sequence[str] = ("request_id",)) -> DataFrame:
     """Keys of requests without any response."""
-    return requests.select(*keys).join(responses.select(*keys), list(keys), "left_anti")
+    return requests.select(*keys).join(responses.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def split_valid(answered: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:

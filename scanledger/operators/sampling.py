@@ -74,9 +74,14 @@ def sample_questions(questions: DataFrame, categories: int = 4, per_category: in
     return take_lowest(kept, per_category, seed, ["category", "question"], strata=["category"])
 
 
+def mixed_order(seed: int, ids: Sequence[str]) -> list[Column]:
+    """Columns to order a sample by so that its strata are mixed."""
+    return [order_key(seed, F.lit("mix"), *[F.col(i) for i in ids]), *[F.col(i) for i in ids]]
+
+
 def shuffled(sample: DataFrame, seed: int, ids: Sequence[str]) -> DataFrame:
     """A bounded sample in mixed order."""
-    return sample.orderBy(order_key(seed, F.lit("mix"), *[F.col(i) for i in ids]), *ids)
+    return sample.orderBy(*mixed_order(seed, ids))
 
 
 # --- sheets for human review ----------------------------------------------------
@@ -167,15 +172,37 @@ def draw_questions(examples: DataFrame, budget: int = 50, seed: int = 42) -> Dat
     draws = draws.join(questions.drop("questions"), ["label", "question_rank"])
     draws = draws.select("draw", *group, _draw(seed, "example", F.col("examples")).alias("target"))
 
-    in_bin = (F.col(_BEFORE) <= F.col("target")) & (F.col("target") < F.col(_BEFORE) + F.col(_N))
-    located = draws.join(histogram, group).filter(in_bin)
-    located = located.select("draw", *group, _BIN, (F.col("target") - F.col(_BEFORE) + 1).alias("__rank"))
+    located = _locate(draws, histogram, group)
     near = keyed.join(located.select(*group, _BIN).distinct(), [*group, _BIN])
     rank = F.row_number().over(Window.partitionBy(*group, _BIN).orderBy(_KEY, *ids))
     ranked = near.withColumn("__rank", rank.cast("long"))
     return located.join(ranked, [*group, _BIN, "__rank"]).select("draw", *group, "report_id", "category")
 
 
+def _locate(draws: DataFrame, histogram: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The bin that holds each draw's target, and the rank inside the bin.
+
+    Bins and targets are put in one order and each target takes the bin before
+    it: as many rows as bins and draws, no pairs of them.
+    """
+    marks = histogram.select(
+        *group, F.col(_BEFORE).alias("at"), F.lit(0).alias("kind"), F.col(_BIN), F.lit(None).cast("long").alias("draw")
+    )
+    targets = draws.select(
+        *group, F.col("target").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias(_BIN), "draw"
+    )
+    before = Window.partitionBy(*group).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = marks.unionByName(targets).select(
+        *group,
+        "draw",
+        "at",
+        F.last(_BIN, ignorenulls=True).over(before).alias(_BIN),
+        F.last(F.when(F.col("kind") == 0, F.col("at")), ignorenulls=True).over(before).alias("start"),
+    )
+    drawn = placed.filter(F.col("draw").isNotNull())
+    return drawn.select("draw", *group, _BIN, (F.col("at") - F.col("start") + 1).alias("__rank"))
+
+
 def qc_questions(results: DataFrame, budget: int = 50, seed: int = 42) -> DataFrame:
     """Answers for review, half of them positive, with a column to fill in."""
     drawn = draw_questions(question_examples(results), budget, seed)
@@ -205,8 +232,8 @@ def qc_statistics(sample: DataFrame, examples: DataFrame) -> DataFrame:
         F.count_if("neg").alias("n_questions_with_negatives"),
         F.count_if(F.col("pos") & F.col("neg")).alias("n_questions_with_both"),
     )
-    one = F.lit(1).alias("__one")
-    return drawn.select("*", one).join(available.select("*", one), "__one").drop("__one")
+    both = drawn.unionByName(available, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def qc_sheets(

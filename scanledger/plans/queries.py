@@ -448,6 +448,13 @@ QUOTED_SQL = {name: _quoted_sql(label, *quotes) for name, (label, quotes) in QUO
 # --- samples for review ---------------------------------------------------------------------
 
 
+def _stored_results(spark, sf_dir) -> DataFrame:
+    """Final results written once and read back, as reviews start from stored results."""
+    folder = _run_folder(spark, "results")
+    derived.results(spark, sf_dir).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 @query
 def sampled_reports(spark, sf_dir):
     return sampling.sample_reports(derived.reports(spark, sf_dir), 100, seed=42)
@@ -463,22 +470,22 @@ def sampled_catalog(spark, sf_dir):
 
 @query
 def qc_findings(spark, sf_dir):
-    return sampling.qc_findings(derived.results(spark, sf_dir), 40, seed=42)
+    return sampling.qc_findings(_stored_results(spark, sf_dir), 40, seed=42)
 
 
 @query
 def qc_categories(spark, sf_dir):
-    return sampling.qc_categories(derived.results(spark, sf_dir), 10, seed=42)
+    return sampling.qc_categories(_stored_results(spark, sf_dir), 10, seed=42)
 
 
 @query
 def qc_questions(spark, sf_dir):
-    return sampling.qc_questions(derived.results(spark, sf_dir), 50, seed=42)
+    return sampling.qc_questions(_stored_results(spark, sf_dir), 50, seed=42)
 
 
 @query
 def qc_statistics(spark, sf_dir):
-    results = derived.results(spark, sf_dir)
+    results = _stored_results(spark, sf_dir)
     return sampling.qc_statistics(sampling.qc_questions(results, 50, seed=42), sampling.question_examples(results))
 
 
@@ -576,7 +583,7 @@ TRUTH = ("fracture", "renal_cyst", "pleural_effusion", "osteopenia", "ascites")
 def _answered_cases(spark, sf_dir):
     return metrics.answered_cases(
         _ground_truth(spark, sf_dir),
-        derived.results(spark, sf_dir).filter("CAST(report_id AS BIGINT) % 8 <> 7"),
+        derived.results(spark, sf_dir).filter(f"{_ID} % 8 <> 7"),
         TRUTH,
     )
 

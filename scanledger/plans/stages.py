@@ -51,14 +51,18 @@ def answer_stage(
     catalog: Catalog | None = None,
     templates: Mapping[str, str] | None = None,
     run: str | None = None,
+    small_batch: bool = False,
 ) -> None:
     """Answer what a stage table still lacks and append the valid answers.
 
+    ``small_batch`` says that ``inputs`` are few beside what is stored.
+
     Answers are written down before they are used, so the responder is asked
     once per request even when executors are lost afterwards.  Rejected answers
     stay in that folder, and their keys come back on the next run.
     """
-    requests = build_requests(stage, inputs, catalog, store.load(spark, stage), templates)
+    done = store.finished(spark, stage, inputs) if small_batch else store.load(spark, stage)
+    requests = build_requests(stage, inputs, catalog, done, templates)
     folder = f"{store.path}/answers/{stage}/{run or uuid4().hex}"
     complete(requests, responder).write.mode("overwrite").parquet(folder)
     store.append(stage, to_stage_rows(spark.read.parquet(folder), stage))
@@ -86,4 +90,4 @@ def run_stages(
         source = reports if name not in _FED_BY else inputs.get(_FED_BY[name], store.load(spark, _FED_BY[name]))
         answer_stage(spark, table, source, store, responder, catalog, templates)
     tables = {table: store.load(spark, table) for table in STAGE_TABLE.values()}
-    return combine_stages(reports, **tables)
+    return combine_stages(reports, **tables, unique=True)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.labels import to_nested, to_wide
@@ -44,18 +44,27 @@ def write_label_lines(results: DataFrame, names: Sequence[str], path: str, mode:
     to_nested(results, names, extra=["raw_payload"]).write.mode(mode).json(path)
 
 
-def write_sheet(sample: DataFrame, path: str) -> None:
+def _one_file(bounded: DataFrame, order: Sequence[Column | str] = ()) -> DataFrame:
+    """All rows in one partition, by a shuffle of these few rows.
+
+    ``coalesce`` would instead run the whole stage that makes them in one task.
+    """
+    single = bounded.repartition(1)
+    return single.sortWithinPartitions(*order) if order else single
+
+
+def write_sheet(sample: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
     """A bounded sample for people to fill in, as one CSV file."""
-    _csv(sample.coalesce(1), path)
+    _csv(_one_file(sample, order), path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    _one_file(metrics).write.mode("overwrite").json(path)
 
 
-def write_metric_table(metrics: DataFrame, path: str) -> None:
-    """Metrics per concept, in the order they are in, as one CSV file."""
-    _csv(metrics.coalesce(1), path)
+def write_metric_table(metrics: DataFrame, support: str, path: str) -> None:
+    """Metrics per concept, worst first, as one CSV file."""
+    _csv(_one_file(metrics, [F.asc("f1"), F.desc(support)]), path)
 
 
 def write_case_table(cases: DataFrame, path: str) -> None:
@@ -65,4 +74,4 @@ def write_case_table(cases: DataFrame, path: str) -> None:
 
 def write_imperfect(tasks: DataFrame, path: str) -> None:
     """Tasks below the threshold, worst first, fixed column order."""
-    _csv(tasks.select(*IMPERFECT_COLUMNS).orderBy("accuracy").coalesce(1), path)
+    _csv(_one_file(tasks.select(*IMPERFECT_COLUMNS), ["accuracy"]), path)

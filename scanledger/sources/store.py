@@ -40,11 +40,30 @@ class StageStore:
                 return None
             raise
 
+    def finished(self, spark: SparkSession, stage: str, inputs: DataFrame) -> DataFrame | None:
+        """The stored rows of the reports in ``inputs``.
+
+        For a small batch its ids are broadcast over the stored table, which is
+        then read without a shuffle.
+        """
+        stored = self.load(spark, stage)
+        if stored is None:
+            return None
+        return stored.join(inputs.select("report_id").distinct(), "report_id", "left_semi")
+
     def new_rows(self, stage: str, rows: DataFrame) -> DataFrame:
-        """The rows an append would add: one per key, keys not stored yet."""
-        keys = STAGE_KEYS[stage]
-        unique = one_per_key(rows.select(*STAGE_COLUMNS[stage]), keys)
-        return pending(unique, self.load(rows.sparkSession, stage), keys).select(*STAGE_COLUMNS[stage])
+        """The rows an append would add: one per key, keys not stored yet.
+
+        The stored keys are cut down to those of the batch before the batch is
+        held against them, so a small batch never shuffles the whole table.
+        """
+        columns, keys = STAGE_COLUMNS[stage], list(STAGE_KEYS[stage])
+        unique = one_per_key(rows.select(*columns), keys)
+        stored = self.load(rows.sparkSession, stage)
+        if stored is None:
+            return unique
+        known = stored.select(*keys).join(rows.select(*keys).distinct(), keys, "left_semi")
+        return pending(unique, known, keys).select(*columns)
 
     def append(self, stage: str, rows: DataFrame) -> None:
         self.new_rows(stage, rows).write.mode("append").parquet(self.location(stage))

@@ -72,6 +72,8 @@ def stage_stream(
     run = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def answer(batch: DataFrame, number: int) -> None:
-        answer_stage(batch.sparkSession, stage, batch, store, responder, catalog, templates, run=f"{run}-{number}")
+        answer_stage(
+            batch.sparkSession, stage, batch, store, responder, catalog, templates, f"{run}-{number}", small_batch=True
+        )
 
     return inputs.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

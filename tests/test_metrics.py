@@ -175,7 +175,7 @@ def test_tasks_below_a_threshold(spark, tmp_path):
 def test_metric_files(spark, tmp_path):
     cases = pairs_frame(spark, counted(1, 1, 1, 1))
     sinks.write_case_table(metrics.case_accuracy(cases), str(tmp_path / "cases"))
-    sinks.write_metric_table(metrics.worst_first(metrics.evaluable_metrics(cases), "n_eval"), str(tmp_path / "table"))
+    sinks.write_metric_table(metrics.evaluable_metrics(cases), "n_eval", str(tmp_path / "table"))
     sinks.write_metrics(metrics.coverage_metrics(cases, ["c"]), str(tmp_path / "metrics"))
     sinks.write_sheet(cases.select("case_id"), str(tmp_path / "sheet"))
     assert spark.read.csv(str(tmp_path / "cases"), header=True).count() == 4

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scanledger.operators import sampling
+from scanledger.sources import sinks
 from scanledger.sources.catalog import Catalog, Category, sample_catalog
 from tests.brute import order_key
 
@@ -107,6 +108,14 @@ def test_small_catalogs(spark):
     assert got == {(c.name, q) for c in small.categories for q in c.questions}
 
 
+def test_sheet_file_keeps_the_mixed_order(spark, tmp_path):
+    sample = sampling.qc_questions(results_of(spark), 20, seed=2)
+    order = sampling.mixed_order(2, ["query_id", "question"])
+    sinks.write_sheet(sample, str(tmp_path / "sheet"), order)
+    written = [r.query_id for r in spark.read.csv(str(tmp_path / "sheet"), header=True).collect()]
+    assert written == [r.query_id for r in sampling.shuffled(sample, 2, ["query_id", "question"]).collect()]
+
+
 def test_sheets_in_mixed_order(spark):
     sheets = sampling.qc_sheets(results_of(spark), 10, 4, 12, seed=2)
     assert set(sheets) == {"combined_findings", "categories", "questions"}
