@@ -8,6 +8,8 @@ word characters, ``d`` only a line feed ends a line.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,7 +36,30 @@ def sql_text(value: str) -> str:
 
 
 def any_of(regexes) -> str:
-    return pattern("|".join(f"(?:{r})" for r in regexes))
+    """One expression that matches where any of ``regexes`` does.
+
+    Word boundaries that all alternatives share are tested once, in front of
+    and behind the alternatives, which makes a search several times faster.
+    """
+    regexes = list(regexes)
+    if any("[" in r or _has_top_level_bar(r) for r in regexes):
+        return pattern("|".join(f"(?:{r})" for r in regexes))
+    edge = r"\b"
+    before = edge if all(r.startswith(edge) for r in regexes) else ""
+    after = edge if all(r.endswith(edge) and len(r) > len(edge) for r in regexes) else ""
+    inner = "|".join(r[len(before) : len(r) - len(after)] for r in regexes)
+    return pattern(f"{before}(?:{inner}){after}")
+
+
+def _has_top_level_bar(regex: str) -> bool:
+    depth = 0
+    for at, char in enumerate(regex):
+        if regex[at - 1 : at] == "\\":
+            continue
+        depth += (char == "(") - (char == ")")
+        if char == "|" and depth == 0:
+            return True
+    return False
 
 
 def matches(text: Column, regex: str) -> Column:
@@ -47,6 +72,11 @@ def strip(text: Column) -> Column:
     return F.trim(text, F.lit(BLANKS))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     """One space for each run of blanks, none at the ends."""
     return strip(F.regexp_replace(text, f"(?U){_BLANK}+", " "))
@@ -68,21 +98,38 @@ def findings_region(text: Column) -> Column:
     """From the first findings heading to the end, or the whole text without one."""
     text = F.coalesce(text, F.lit(""))
     region = F.regexp_extract(text, f"(?iUs){FINDINGS_HEADING}.*", 0)
-    return F.when(region != "", strip(region)).otherwise(text)
+    return let(region, lambda r: F.when(r != "", strip(r)).otherwise(text))
+
+
+def unix_lines(text: Column) -> Column:
+    """Every kind of line end as a line feed, and none at the very end."""
+
+    def plain(t: Column) -> Column:
+        return F.when(t.rlike(LINE_BREAKS_BEYOND_LF), F.regexp_replace(t, LINE_BREAKS_BEYOND_LF, "\n")).otherwise(t)
+
+    def shortened(t: Column) -> Column:
+        return F.when(F.endswith(t, F.lit("\n")), F.left(t, F.length(t) - 1)).otherwise(t)
+
+    return let(let(F.coalesce(text, F.lit("")), plain), shortened)
+
 
+def _may_have_blocks(folded: Column) -> Column:
+    """Does any word of a skipped heading occur at all?"""
+    stems = {name.split()[-1] for name in SKIPPED_HEADINGS}
+    tests = [F.contains(folded, F.lit(stem)) for stem in sorted(stems)]
+    return reduce(lambda x, y: x | y, tests)
 
-def _without_blocks(text: Column, stays_open: str) -> Column:
+
+def _without_blocks(lines: Column, stays_open: str) -> Column:
     """Drop each block that a skipped heading on its own line opens.
 
     Every line is written as a line feed and its content, so a block is its
     heading line followed by lines for which ``stays_open`` holds.  The
     possessive repeat keeps the match linear in the text.
     """
-    lines = F.regexp_replace(F.coalesce(text, F.lit("")), LINE_BREAKS_BEYOND_LF, "\n")
-    lines = F.concat(F.lit("\n"), F.regexp_replace(lines, r"\n\z", ""))
     opens = _heading_line(SKIPPED_HEADINGS)
     block = rf"(?Ud)\n{opens}(?:\n{stays_open}[^\n]*)*+"
-    return F.substr(F.regexp_replace(lines, block, ""), F.lit(2))
+    return F.substr(F.regexp_replace(F.concat(F.lit("\n"), lines), block, ""), F.lit(2))
 
 
 def _heading_line(names) -> str:
@@ -90,15 +137,30 @@ def _heading_line(names) -> str:
     return rf"{_LINE_BLANK}*(?i:{words}){_LINE_BLANK}*:?{_LINE_BLANK}*(?=\n|\z)"
 
 
+_STAYS_OPEN = {
+    "report": rf"(?!{_heading_line(KEPT_HEADINGS)})",
+    "direct": rf"(?:(?={_heading_line(SKIPPED_HEADINGS)})|(?!{_LINE_BLANK}*{UPPER_CASE_HEADING}{_LINE_BLANK}*(?=\n|\z)))",
+}
+
+
 def without_headed_blocks(text: Column) -> Column:
     """Remove history and indication blocks up to the next known heading."""
-    return strip(_without_blocks(text, rf"(?!{_heading_line(KEPT_HEADINGS)})"))
+    return strip(_without_blocks(unix_lines(text), _STAYS_OPEN["report"]))
 
 
 def without_upper_case_blocks(text: Column) -> Column:
     """The same blocks, ended only by an upper-case heading with a colon."""
-    closes = rf"{_LINE_BLANK}*{UPPER_CASE_HEADING}{_LINE_BLANK}*(?=\n|\z)"
-    return _without_blocks(text, rf"(?:(?={_heading_line(SKIPPED_HEADINGS)})|(?!{closes}))")
+    return _without_blocks(unix_lines(text), _STAYS_OPEN["direct"])
+
+
+def report_lines(text: Column) -> Column:
+    """The findings region with plain line ends: the first half of ``eligible_text``."""
+    return unix_lines(findings_region(text))
+
+
+def eligible_lines(lines: Column, folded: Column, mode: str = "report") -> Column:
+    """The second half: ``report_lines`` without skipped blocks, given them folded too."""
+    return strip(F.when(_may_have_blocks(folded), _without_blocks(lines, _STAYS_OPEN[mode])).otherwise(lines))
 
 
 def eligible_text(text: Column, mode: str = "report") -> Column:
@@ -109,18 +171,19 @@ def eligible_text(text: Column, mode: str = "report") -> Column:
     upper-case heading ends one.  Both drop every skipped heading line, so one
     pass over the lines is enough in either mode.
     """
-    if mode == "report":
-        return without_headed_blocks(findings_region(text))
-    if mode == "direct":
-        return strip(without_upper_case_blocks(findings_region(text)))
-    raise ValueError(f"mode must be 'report' or 'direct', not {mode!r}")
-
-
-def sentence_parts(text: Column) -> Column:
-    """Cut after . ? ! and at line ends; parts may carry blanks or be empty."""
-    return F.split(text, rf"(?U)(?<=[.?!]){_BLANK}+|\n+")
+    if mode not in _STAYS_OPEN:
+        raise ValueError(f"mode must be one of {sorted(_STAYS_OPEN)}, not {mode!r}")
+    return let(
+        report_lines(text), lambda lines: let(fold(lines), lambda folded: eligible_lines(lines, folded, mode))
+    )
 
 
 def sentences(text: Column) -> Column:
-    """The stripped, non-empty sentences of ``text`` in order."""
-    return F.filter(F.transform(sentence_parts(text), strip), lambda s: s != "")
+    """The stripped, non-empty sentences of ``text`` in order.
+
+    A sentence ends after . ? ! before blanks, and at line ends.  The cut takes
+    all blanks around it, so in a stripped text no part needs stripping and only
+    an empty text gives an empty part.
+    """
+    cut = rf"(?U)(?<=[.?!]){_BLANK}+|{_BLANK}*\n{_BLANK}*"
+    return F.array_remove(F.split(strip(text), cut), "")

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
 from ..functions.completions import coerced_evidence, coerced_label, json_block, quote_in_text
-from ..functions.text import eligible_text, matches, squeeze
+from ..functions.text import eligible_text, let, matches, squeeze
 from ..session import settle
-from .labels import ABSENT, PRESENT, UNCERTAIN, _bind, _result, label_results
+from .labels import ABSENT, PRESENT, UNCERTAIN, _result, label_results
 
 CONCEPTS = tuple(fixed.CONCEPT_QUESTIONS)
 _SQUEEZED, _ELIGIBLE, _PAYLOAD, _RESULTS = "__squeezed", "__eligible", "__payload", "__results"
@@ -53,7 +53,7 @@ def _quoted(result: Column) -> Column:
     valid = F.filter(result["evidence"], lambda q: quote_in_text(q, F.col(_SQUEEZED)))
     return F.when(
         result["label"] == PRESENT,
-        _bind(
+        let(
             valid,
             lambda quotes: F.when(
                 F.size(quotes) > 0, _result(F.lit(PRESENT), F.slice(quotes, 1, fixed.MAX_EVIDENCE))

@@ -7,7 +7,8 @@ changes nothing, and the same code runs on a stream.
 
 Work is saved in this order: a concept none of whose anchor words occurs in the
 text costs one substring search; a report without any anchor is never cut into
-sentences; only sentences that match a concept are judged.
+sentences; only sentences that match a concept are judged.  Anchors are looked
+for before skipped blocks are removed, which can only let more through.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from ..functions.fixed_values import (
     WINDOW_AFTER,
     WINDOW_BEFORE,
 )
-from ..functions.text import any_of, eligible_text, fold, matches, pattern, sentences, sql_text
+from ..functions.text import any_of, eligible_lines, fold, let, matches, pattern, report_lines, sentences, sql_text
 from ..session import settle
 from .lexicon import ConceptRule, LesionRule, check_lexicon, default_lexicon
 
 ABSENT, PRESENT, UNCERTAIN = 0, 1, -1
-_TEXT, _FOLDED, _GATE, _PARTS = "__text", "__folded", "__gate_", "__parts"
+_LINES, _FOLDED, _GATE, _PARTS = "__lines", "__folded", "__gate_", "__parts"
 _VERDICTS, _RESULTS = "__verdicts", "__results"
 
 Rule = ConceptRule | LesionRule
@@ -80,19 +81,25 @@ def _counts_for(rule: Rule) -> str:
     return " AND ".join(tests)
 
 
+def _before_sql(text: str, regex: str) -> str:
+    """The text up to the first match, null without one."""
+    upto = pattern(f"^((?s:.*?))(?:{regex})")
+    return f"CASE WHEN {_matches_sql(text, [regex])} THEN regexp_extract({text}, {sql_text(upto)}, 1) END"
+
+
 def _found(rule: ConceptRule, gate: str) -> str:
     """What the patterns of a rule find in the sentences that count, null behind its gate.
 
-    ``cuts`` holds the sentence cut at the first match of each mention pattern,
-    or whole where the pattern does not occur.
+    ``before`` holds the text up to the first match of each mention pattern, null
+    where it does not occur.
     """
     sure = _matches_sql("p.sent", rule.always_present) if rule.always_present else "FALSE"
     special = _matches_sql("p.sent", rule.special_uncertain) if rule.special_uncertain else "FALSE"
-    cuts = ", ".join(f"split(p.sent, {sql_text(pattern(m))}, 2)" for m in rule.mentions)
+    before = ", ".join(_before_sql("p.sent", m) for m in rule.mentions)
     return f"""CASE WHEN {gate} THEN transform(
         filter({_PARTS}, p -> {_counts_for(rule)}),
         p -> named_struct('concept', {sql_text(rule.name)}, 'idx', p.idx, 'sent', p.sent, 'sure', {sure},
-                          'special', {special}, 'cuts', CAST(array({cuts}) AS ARRAY<ARRAY<STRING>>))) END"""
+                          'special', {special}, 'before', CAST(array({before}) AS ARRAY<STRING>))) END"""
 
 
 def _verdict(found: Column) -> Column:
@@ -102,8 +109,7 @@ def _verdict(found: Column) -> Column:
     """
     sent, sure = found["sent"], found["sure"]
     vague = found["special"] | is_uncertain(sent)
-    hits = F.filter(found["cuts"], lambda cut: F.size(cut) == 2)
-    denials = F.transform(hits, lambda cut: is_negated(sent, F.get(cut, F.lit(0))))
+    denials = F.transform(F.array_compact(found["before"]), lambda before: is_negated(sent, before))
 
     def decided(d: Column) -> Column:
         affirmed, denied = F.exists(d, lambda x: ~x), F.exists(d, lambda x: x)
@@ -116,12 +122,7 @@ def _verdict(found: Column) -> Column:
             (~sure & denied).alias("absent"),
         )
 
-    return _bind(denials, decided)
-
-
-def _bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return let(denials, decided)
 
 
 # --- resolving one document ---------------------------------------------------
@@ -161,7 +162,7 @@ def _resolve(verdicts: Column) -> Column:
         )
         return _result(label, first_distinct(F.transform(stated, lambda x: x["sent"])))
 
-    return _bind(F.when(present, PRESENT).when(uncertain, UNCERTAIN).otherwise(ABSENT), winner)
+    return let(F.when(present, PRESENT).when(uncertain, UNCERTAIN).otherwise(ABSENT), winner)
 
 
 def _in_context(result: Column, context: str) -> Column:
@@ -175,13 +176,13 @@ def _in_context(result: Column, context: str) -> Column:
             .otherwise(r)
         )
 
-    return _bind(result, narrowed)
+    return let(result, narrowed)
 
 
 def _lesion_verdict(rule: LesionRule, sent: Column) -> Column:
     confirmed = matches(sent, rule.confirming)
     equivocal = matches(sent, rule.equivocal)
-    before = F.get(F.split(sent, pattern(rule.mention), 2), F.lit(0))
+    before = F.regexp_extract(sent, pattern(f"^((?s:.*?))(?:{rule.mention})"), 1)
     counted = ~is_negated(sent, before) & (confirmed | ~matches(sent, rule.excluding))
     unsure = is_uncertain(sent) | equivocal
     return F.struct(
@@ -200,7 +201,7 @@ def _lesion_result(rule: LesionRule) -> Column:
     def narrowed(r: Column) -> Column:
         return F.when(explained & (r["label"] == UNCERTAIN), _nothing()).otherwise(r)
 
-    return _bind(_bind(verdicts, _resolve), narrowed)
+    return let(let(verdicts, _resolve), narrowed)
 
 
 # --- labelling reports ----------------------------------------------------------
@@ -209,11 +210,14 @@ def _lesion_result(rule: LesionRule) -> Column:
 def _prepare(reports: DataFrame, rules: Sequence[Rule], text_col: str, mode: str) -> DataFrame:
     """Add the gates, the numbered sentences and the verdicts of each concept rule."""
     gates = [f"{_GATE}{i}" for i in range(len(rules))]
+    if mode not in ("report", "direct"):
+        raise ValueError(f"mode must be 'report' or 'direct', not {mode!r}")
+    eligible = eligible_lines(F.col(_LINES), F.col(_FOLDED), mode)
     prepared = (
-        reports.withColumn(_TEXT, eligible_text(F.col(f"`{text_col}`"), mode))
-        .withColumn(_FOLDED, fold(F.col(_TEXT)))
+        reports.withColumn(_LINES, report_lines(F.col(f"`{text_col}`")))
+        .withColumn(_FOLDED, fold(F.col(_LINES)))
         .selectExpr("*", *[f"{_anchored(r, _FOLDED)} AS {g}" for g, r in zip(gates, rules)])
-        .withColumn(_PARTS, F.when(F.expr(" OR ".join(gates)), _numbered(F.col(_TEXT))))
+        .withColumn(_PARTS, F.when(F.expr(" OR ".join(gates)), _numbered(eligible)))
     )
     per_rule = [_found(r, g) for g, r in zip(gates, rules) if isinstance(r, ConceptRule)]
     found = F.expr(f"array({', '.join(per_rule)})")
