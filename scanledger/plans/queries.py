@@ -698,7 +698,7 @@ RESULT_DOCUMENT_SQL = (
 def stream_labels(spark, sf_dir):
     """Labels of a stream of documents, written as they arrive."""
     folder = _run_folder(spark, "labels")
-    arriving = incremental.stream_table(spark, sf_dir, "doc_id BIGINT, text STRING", "documents.parquet")
+    arriving = incremental.stream_table(spark, f"{sf_dir}/documents.parquet", "doc_id BIGINT, text STRING")
     reports = arriving.selectExpr("CAST(doc_id AS STRING) AS report_id", f"{derived.REPORT_TEXT_SQL} AS report_text")
     incremental.label_stream(reports, f"{folder}/labels", f"{folder}/checkpoint").awaitTermination()
     written = spark.read.schema("report_id STRING, concept STRING, label INT, evidence ARRAY<STRING>")
@@ -712,7 +712,7 @@ def stream_append(spark, sf_dir):
     store = StageStore(f"{folder}/store")
     for attempt in ("first", "second"):
         arriving = incremental.stream_table(
-            spark, sf_dir, "conv_id BIGINT, turn BIGINT, role STRING, text STRING", "conversations.parquet"
+            spark, f"{sf_dir}/conversations.parquet", "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
         )
         rows = arriving.selectExpr(
             "CAST(conv_id AS STRING) AS report_id", "role || ' ' || turn % 3 AS category", f"{derived.CONTENT_SQL} AS findings"
@@ -726,7 +726,7 @@ def stream_stage(spark, sf_dir):
     """A stage answered for a stream of reports; failed answers stay open."""
     folder = _run_folder(spark, "stage")
     store = StageStore(f"{folder}/store")
-    arriving = incremental.stream_table(spark, sf_dir, "doc_id BIGINT, text STRING", "documents.parquet")
+    arriving = incremental.stream_table(spark, f"{sf_dir}/documents.parquet", "doc_id BIGINT, text STRING")
     reports = arriving.selectExpr("CAST(doc_id AS STRING) AS report_id", f"{derived.REPORT_TEXT_SQL} AS report_text")
     incremental.stage_stream(
         reports, "questions", store, echo_stage(), f"{folder}/checkpoint", derived.catalog()

@@ -19,16 +19,17 @@ from ..sources.catalog import Catalog
 from ..sources.store import StageStore
 
 
-def stream_table(
-    spark: SparkSession, folder: str, schema: str, name: str | None = None, files_per_trigger: int | None = None
-) -> DataFrame:
-    """Parquet files of a folder as a stream, optionally only those named ``name``."""
+def stream_table(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The Parquet files of a table, a folder or a single file, as a stream.
+
+    The last letter is written as a class so that the path is a pattern, which
+    a stream needs to accept a single file.
+    """
     reader = spark.readStream.schema(schema)
-    if name:
-        reader = reader.option("pathGlobFilter", name)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def label_stream(
