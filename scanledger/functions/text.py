@@ -86,12 +86,14 @@ def fold(text: Column) -> Column:
     """Lower case, with the letters that match i or s without regard to case.
 
     Those are the long s, the dotless i and the combining dot a dotted capital I
-    leaves behind.  Each is a plain substring search, nearly always without a hit.
+    leaves behind; a text of plain ASCII has none.  ``text`` is used several
+    times, so it should be a column or bound by ``let``.
     """
-    folded = F.lower(text)
+    lowered = F.lower(text)
+    folded = lowered
     for special, letter in (("\u017f", "s"), ("\u0131", "i"), ("i\u0307", "i")):
         folded = F.replace(folded, F.lit(special), F.lit(letter))
-    return folded
+    return F.when(F.octet_length(text) == F.length(text), lowered).otherwise(folded)
 
 
 def findings_region(text: Column) -> Column:

@@ -32,7 +32,7 @@ from ..session import settle
 from .lexicon import ConceptRule, LesionRule, check_lexicon, default_lexicon
 
 ABSENT, PRESENT, UNCERTAIN = 0, 1, -1
-_LINES, _FOLDED, _GATE, _PARTS = "__lines", "__folded", "__gate_", "__parts"
+_LINES, _FOLDED, _ANCHOR, _PARTS = "__lines", "__folded", "__anchor_", "__parts"
 _VERDICTS, _RESULTS = "__verdicts", "__results"
 
 Rule = ConceptRule | LesionRule
@@ -64,7 +64,7 @@ def _matches_sql(text: str, regexes: Sequence[str]) -> str:
 
 
 def _anchored(rule: Rule, folded: str) -> str:
-    """Does the folded text hold an anchor of the rule?"""
+    """Does the folded sentence hold an anchor of the rule?"""
     tests = [f"contains({folded}, {sql_text(a)})" for a in rule.anchors]
     return f"({' OR '.join(tests)})" if tests else "TRUE"
 
@@ -207,19 +207,30 @@ def _lesion_result(rule: LesionRule) -> Column:
 # --- labelling reports ----------------------------------------------------------
 
 
+def _anchors(rules: Sequence[Rule]) -> dict[str, str]:
+    """A column name for each distinct anchor."""
+    return {a: f"{_ANCHOR}{i}" for i, a in enumerate(dict.fromkeys(a for r in rules for a in r.anchors))}
+
+
+def _gate(rule: Rule, anchors: dict[str, str]) -> str:
+    """Does the report hold an anchor of the rule?"""
+    return f"({' OR '.join(anchors[a] for a in rule.anchors)})" if rule.anchors else "TRUE"
+
+
 def _prepare(reports: DataFrame, rules: Sequence[Rule], text_col: str, mode: str) -> DataFrame:
-    """Add the gates, the numbered sentences and the verdicts of each concept rule."""
-    gates = [f"{_GATE}{i}" for i in range(len(rules))]
+    """Add the anchors, the numbered sentences and the verdicts of each concept rule."""
     if mode not in ("report", "direct"):
         raise ValueError(f"mode must be 'report' or 'direct', not {mode!r}")
+    anchors = _anchors(rules)
+    any_gate = " OR ".join(dict.fromkeys(_gate(r, anchors) for r in rules))
     eligible = eligible_lines(F.col(_LINES), F.col(_FOLDED), mode)
     prepared = (
         reports.withColumn(_LINES, report_lines(F.col(f"`{text_col}`")))
         .withColumn(_FOLDED, fold(F.col(_LINES)))
-        .selectExpr("*", *[f"{_anchored(r, _FOLDED)} AS {g}" for g, r in zip(gates, rules)])
-        .withColumn(_PARTS, F.when(F.expr(" OR ".join(gates)), _numbered(eligible)))
+        .selectExpr("*", *[f"contains({_FOLDED}, {sql_text(a)}) AS {name}" for a, name in anchors.items()])
+        .withColumn(_PARTS, F.when(F.expr(any_gate), _numbered(eligible)))
     )
-    per_rule = [_found(r, g) for g, r in zip(gates, rules) if isinstance(r, ConceptRule)]
+    per_rule = [_found(r, _gate(r, anchors)) for r in rules if isinstance(r, ConceptRule)]
     found = F.expr(f"array({', '.join(per_rule)})")
     return prepared.withColumn(_VERDICTS, F.transform(found, lambda sents: F.transform(sents, _verdict)))
 
@@ -238,7 +249,7 @@ def label_results(
     rules = tuple(rules) if rules is not None else default_lexicon()
     check_lexicon(rules)
     plain = [r for r in rules if isinstance(r, ConceptRule)]
-    lesions = {r.name: (i, r) for i, r in enumerate(rules) if isinstance(r, LesionRule)}
+    lesions = [r for r in rules if isinstance(r, LesionRule)]
     kept = [F.col(f"`{c}`") for c in reports.columns]
 
     resolved = F.transform(F.col(_VERDICTS), lambda v: F.when(v.isNull(), _nothing()).otherwise(_resolve(v)))
@@ -250,9 +261,10 @@ def label_results(
     labelled = labelled.withColumns(columns)
     if lesions:
         labelled = labelled.withColumns(
-            {n: F.when(F.col(f"{_GATE}{i}"), _lesion_result(r)).otherwise(_nothing()) for n, (i, r) in lesions.items()}
+            {r.name: F.when(F.expr(_gate(r, _anchors(rules))), _lesion_result(r)).otherwise(_nothing()) for r in lesions}
         )
-    return settle(labelled.select(*kept, *[F.col(f"`{n}`") for n in names_of(rules)]), {n: F.col(f"`{n}`") for n in names_of(rules)})
+    results = {name: F.col(f"`{name}`") for name in names_of(rules)}
+    return settle(labelled.select(*kept, *results.values()), results)
 
 
 def names_of(rules: Sequence[Rule] | None) -> list[str]:

@@ -389,8 +389,10 @@ PAYLOAD_CONCEPTS = ("fracture", "renal_cyst", "renal_hypodensities", "coronary_c
 
 
 def _label_responses(spark, sf_dir):
+    """Reports joined with the replies that came back for them."""
     reports = derived.reports(spark, sf_dir)
-    return reports.selectExpr("report_id", "report_text", f"{LABEL_RESPONSE_SQL} AS content")
+    replies = reports.selectExpr("report_id", f"{LABEL_RESPONSE_SQL} AS content")
+    return responses.match_responses(reports, replies, ["report_id"])
 
 
 # A model's reply per report: labels of several JSON kinds, quotes that fit or do not,

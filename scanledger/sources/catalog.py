@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.answers import question_id
 from ..functions.fixed_values import CONCEPT_QUESTIONS
+from ..functions.prompts import DEFAULT_TEMPLATES
 
 
 @dataclass(frozen=True)
@@ -51,9 +52,17 @@ def read_catalog(path: str | Path) -> Catalog:
     return catalog_from_mapping(yaml.safe_load(Path(path).read_text(encoding="utf-8")))
 
 
+def read_templates(path: str | Path) -> dict[str, str]:
+    """The stage prompts of a configuration file (``prompt_templates``), defaults for the rest."""
+    import yaml
+
+    config = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    return {**DEFAULT_TEMPLATES, **(config.get("prompt_templates") or {})}
+
+
 def concept_catalog() -> Catalog:
     """The built-in concepts as one category of yes/no questions."""
-    text = "Binary presence/absence questions for a fixed set of abdomen CT findings."
+    text = "Yes/no questions about the built-in concepts."
     return Catalog("abdominal_ct", (Category("Concepts", text, tuple(CONCEPT_QUESTIONS.values())),))
 
 

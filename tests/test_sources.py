@@ -14,6 +14,7 @@ from scanledger.sources.catalog import (
     missing_questions,
     questions_frame,
     read_catalog,
+    read_templates,
 )
 from scanledger.sources.reports import read_reports
 from scanledger.sources.tables import (
@@ -95,6 +96,12 @@ def test_catalogs(spark, tmp_path):
     assert missing_questions(["Q1?", "Q9?"], catalog) == ["Q9?"]
 
 
+def test_templates_of_a_configuration(tmp_path):
+    (tmp_path / "c.yaml").write_text('prompt_templates:\n  findings_question: "{report} {question}"\n')
+    templates = read_templates(tmp_path / "c.yaml")
+    assert templates["findings_question"] == "{report} {question}" and "{findings}" in templates["map_category_findings"]
+
+
 def test_stage_tables_and_sheets(spark, tmp_path):
     (tmp_path / "f.csv").write_text('report_id,extra,findings\n01,x,"a\nb"\n')
     assert read_stage_table(spark, "findings", str(tmp_path / "f.csv")).collect() == [("01", "a\nb")]
