@@ -107,7 +107,9 @@ def unix_lines(text: Column) -> Column:
     """Every kind of line end as a line feed, and none at the very end."""
 
     def plain(t: Column) -> Column:
-        return F.when(t.rlike(LINE_BREAKS_BEYOND_LF), F.regexp_replace(t, LINE_BREAKS_BEYOND_LF, "\n")).otherwise(t)
+        # The bracket alone tells whether there is one: it holds the carriage return too.
+        found = t.rlike(LINE_BREAKS_BEYOND_LF.split("|")[1])
+        return F.when(found, F.regexp_replace(t, LINE_BREAKS_BEYOND_LF, "\n")).otherwise(t)
 
     def shortened(t: Column) -> Column:
         return F.when(F.endswith(t, F.lit("\n")), F.left(t, F.length(t) - 1)).otherwise(t)
@@ -187,5 +189,5 @@ def sentences(text: Column) -> Column:
     all blanks around it, so in a stripped text no part needs stripping and only
     an empty text gives an empty part.
     """
-    cut = rf"(?U)(?<=[.?!]){_BLANK}+|{_BLANK}*\n{_BLANK}*"
+    cut = rf"(?U)(?={_BLANK})(?:(?<=[.?!]){_BLANK}+|{_BLANK}*\n{_BLANK}*)"
     return F.array_remove(F.split(strip(text), cut), "")
