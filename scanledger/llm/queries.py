@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm import bpe, chat, credentials, wavelet
+from scanledger.llm import bpe, chat, credentials, decontamination, quality, wavelet
 from scanledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,13 +68,45 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+LEAKS_SQL = r"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+') AS words
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), item_shingles AS (
+  SELECT item_id, width, unnest(list_distinct(list_transform(range(1, len(words) - width + 2), lambda i: words[i:i + width - 1]))) AS shingle
+  FROM (SELECT *, least(5, len(words)) AS width FROM items WHERE len(words) > 0)
+), sizes AS (
+  SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id
+), docs AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+') AS words FROM documents
+), doc_shingles AS (
+  SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(words) - width + 2), lambda i: words[i:i + width - 1]))) AS shingle
+  FROM docs, (SELECT DISTINCT width FROM item_shingles) WHERE len(words) >= width
+)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_shared
+FROM doc_shingles JOIN item_shingles USING (shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op4_bpe": bpe_coding,
+    "op6_quality": quality_rules,
     "op7_chat": chat_format,
     "op8_wavelet": wavelet_files,
+    "op9_decontamination": benchmark_leaks,
     "op10_secrets": secret_scan,
 }
-CHECKS: dict[str, str] = {"op7_chat": CHAT_SQL}
+CHECKS: dict[str, str] = {"op7_chat": CHAT_SQL, "op9_decontamination": LEAKS_SQL}
 
 
 def all_queries() -> dict[str, Query]:

@@ -2,7 +2,7 @@
 
 A text is a run of bytes.  The hash of any stretch of bytes follows from two
 running sums, so all words of a batch, and any prefix of them, are hashed at
-once.  Words are cut at the bytes a caller names; letters A-Z fall to a-z.
+once.  Words are cut at the bytes a caller names; with ``fold``, A-Z count as a-z.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
-    lower = np.arange(256, dtype=np.uint64)
-    lower[65:91] += np.uint64(32)
-    return mix((lower + np.uint64(1)) * np.uint64(BASE))
+def _byte_values(fold: bool) -> np.ndarray:
+    values = np.arange(256, dtype=np.uint64)
+    if fold:
+        values[65:91] += np.uint64(32)
+    return mix((values + np.uint64(1)) * np.uint64(BASE))
 
 
-VALUES = _byte_values()
+FOLDED, EXACT = _byte_values(True), _byte_values(False)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -65,8 +66,9 @@ class Words:
     are byte places in ``data``.
     """
 
-    def __init__(self, texts: pa.Array, cut: bytes = BLANKS):
+    def __init__(self, texts: pa.Array, cut: bytes = BLANKS, fold: bool = True):
         self.data, self.offsets = raw_bytes(texts)
+        self._values = FOLDED if fold else EXACT
         cuts = np.zeros(256, dtype=bool)
         cuts[np.frombuffer(cut, np.uint8)] = True
         gap = cuts[self.data]
@@ -78,6 +80,7 @@ class Words:
         self.starts = np.flatnonzero(~gap & before)
         self.ends = np.flatnonzero(~gap & after) + 1
         self.bounds = np.searchsorted(self.starts, self.offsets)
+        self.gap = gap
         self._sums = None
 
     def __len__(self) -> int:
@@ -87,10 +90,23 @@ class Words:
         """Hashes of the given stretches of bytes."""
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-            np.cumsum(VALUES[self.data] * _power(BASE, len(self.data)), out=self._sums[1:])
+            np.cumsum(self._values[self.data] * _power(BASE, len(self.data)), out=self._sums[1:])
         sums = self._sums[ends] - self._sums[starts]
         return mix(sums * _power(INVERSE, len(self.data) + 1)[starts] + (ends - starts).astype(np.uint64))
 
+    def of(self, i: int) -> list[bytes]:
+        """The words of text i, folded or not as its hashes are."""
+        low = self._values is FOLDED
+        raw = self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
+        raw, base = raw.lower() if low else raw, self.offsets[i]
+        here = slice(self.bounds[i], self.bounds[i + 1])
+        return [raw[s:e] for s, e in zip((self.starts[here] - base).tolist(), (self.ends[here] - base).tolist(), strict=True)]
+
+    def per_text(self, marks: np.ndarray) -> np.ndarray:
+        """Number of marked bytes of each text."""
+        sums = np.concatenate([[0], np.cumsum(marks, dtype=np.int64)])
+        return np.diff(sums[self.offsets])
+
     def hashes(self) -> np.ndarray:
         return self.stretch(self.starts, self.ends)
 
