@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 <
     A row is never cut: one longer text is a piece of its own.
     """
     for batch in batches:
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
         ends = np.cumsum(lengths, dtype=np.int64)
         start = 0
         while start < batch.num_rows:

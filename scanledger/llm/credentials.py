@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from scanledger.llm.common import narrow, text_slices
@@ -153,8 +154,8 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
             columns = [new if i == at else c for i, c in enumerate(batch.columns)]
             if length_col in batch.schema.names:
                 n = batch.schema.get_field_index(length_col)
-                changed = pa.compute.fill_null(pa.compute.not_equal(old, new), False)
-                columns[n] = pa.compute.if_else(changed, pa.compute.utf8_length(new).cast(columns[n].type), columns[n])
+                changed = pc.fill_null(pc.not_equal(old, new), False)
+                columns[n] = pc.if_else(changed, pc.utf8_length(new).cast(columns[n].type), columns[n])
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(run, docs.schema)
