@@ -42,6 +42,8 @@ WIDTH, PERCENT = 5, 80
 BLOCK = 256
 #: Rounds with leaders, and leaders of each node in a round.
 ROUNDS, LEADERS = 2, 2
+#: Rows (member, node) that one task sorts at once.
+SORTED_ROWS = 3_000_000
 #: Up to this number of survivors their ids are sent to every task; more are joined by shuffle.
 SENT_IDS = 2_000_000
 
@@ -98,7 +100,7 @@ def shingle_table(docs: DataFrame, percent: int) -> DataFrame:
     return docs.mapInArrow(run, SETS)
 
 
-def members_elsewhere(sent: DataFrame) -> DataFrame:
+def members_elsewhere(sent: DataFrame, partitions: int) -> DataFrame:
     """Of rows (member, node), null for several nodes: how many members of a node others hold too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +119,7 @@ def members_elsewhere(sent: DataFrame) -> DataFrame:
         nodes, counts = np.unique(node[differs[run_of] & ~several], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(counts, pa.int64())], ["node", "shared"])
 
-    return sent.repartition("member").mapInArrow(run, "node long, shared long")
+    return sent.repartition(partitions, "member").mapInArrow(run, "node long, shared long")
 
 
 def _needed(n: Column, percent: int) -> Column:
@@ -127,7 +129,8 @@ def _needed(n: Column, percent: int) -> Column:
 def survivors(table: DataFrame, percent: int) -> DataFrame:
     """Nodes (node, doc_id, n) that may have links: enough of their prefix lies in other nodes."""
     sent = table.select(F.explode("members").alias("member"), "node")
-    counts = members_elsewhere(sent).unionByName(table.where("shared > 0").select("node", "shared")).groupBy("node").agg(F.sum("shared").alias("shared"))
+    rows = table.agg(F.sum(F.size("members"))).first()[0] or 0
+    counts = members_elsewhere(sent, -(-rows // SORTED_ROWS) or 1).unionByName(table.where("shared > 0").select("node", "shared")).groupBy("node").agg(F.sum("shared").alias("shared"))
     nodes = table.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     n = F.col("n")
     first = F.least(n, n - _needed(n, percent) + 1 + F.floor(n / 10))
