@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, quality, wavelet
+from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, passages, quality, wavelet
 from scanledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
 
@@ -104,6 +108,7 @@ GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles
 
 QUERIES: dict[str, Query] = {
     "op4_bpe": bpe_coding,
+    "op2_passages": repeated_passages,
     "op5_jaccard": ngram_join,
     "op6_quality": quality_rules,
     "op7_chat": chat_format,
