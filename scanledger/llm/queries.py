@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, passages, quality, wavelet
+from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, passages, quality, toxicity, wavelet
 from scanledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,15 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s.start, s.end)), ",")
+    scored = toxicity.score_documents(docs, field)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), listed.alias("spans"))
+
+
 def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -108,6 +117,7 @@ GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles
 
 QUERIES: dict[str, Query] = {
     "op4_bpe": bpe_coding,
+    "op1_toxicity": toxic_documents,
     "op2_passages": repeated_passages,
     "op5_jaccard": ngram_join,
     "op6_quality": quality_rules,
