@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, passages, quality, toxicity, wavelet
+from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, licenses, passages, quality, toxicity, wavelet
 from scanledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,60 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def document_paths() -> str:
+    """Documents as files of a tree by language, source and blocks of ids; some of them are the licence files of its directories."""
+    return (
+        "concat_ws('/', coalesce(lang, '-'), coalesce(source, '-'), CASE WHEN doc_id % 1000 = 0 THEN 'LICENSE.' || doc_id"
+        " WHEN doc_id % 50 = 0 THEN CAST(floor(doc_id / 50) AS BIGINT) || '/LICENSE'"
+        " ELSE CAST(floor(doc_id / 50) AS BIGINT) || '/' || doc_id || '.txt' END)"
+    )
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", F.expr(document_paths()).alias("path"))
+    scanned = licenses.scan_licences(files)
+    doc_id = F.coalesce(F.regexp_extract("path", r"/(\d+)/LICENSE$", 1).try_cast("long") * 50, F.regexp_extract("path", r"(\d+)(?:\.txt)?$", 1).try_cast("long"))
+    return scanned.select(doc_id.alias("doc_id"), "path", "own_license", "own_cosine", "license", "license_dir", "basis")
+
+
+def license_sql() -> str:
+    """The scan in SQL, with the templates' weights as values."""
+    weights, other = licenses.inverse_frequencies(licenses.TEMPLATES)
+    vectors = licenses.unit_vectors(licenses.TEMPLATES)
+    parts = ", ".join(f"('{n}', '{t}', {w!r})" for n, v in vectors.items() for t, w in v.items())
+    idf = ", ".join(f"('{t}', {w!r})" for t, w in weights.items())
+    return rf"""
+WITH files AS (SELECT doc_id, text, {document_paths()} AS path FROM documents),
+parts(name, term, part) AS (VALUES {parts}), idf(term, weight) AS (VALUES {idf}),
+lines AS (
+  SELECT path, unnest(list_distinct(string_split(regexp_replace(text, '([.;!?])[ 	]+', '' || chr(10), 'g'), chr(10)))) AS statement FROM files
+), statements AS (SELECT * FROM lines WHERE regexp_matches(lower(statement), '{licenses.CUES}')),
+terms AS (
+  SELECT path, statement, term, count(*) AS n
+  FROM (SELECT path, statement, unnest(regexp_extract_all(lower(statement), '{licenses.TERM}')) AS term FROM statements) GROUP BY ALL
+), valued AS (SELECT terms.*, n * coalesce(weight, {other!r}) AS value FROM terms LEFT JOIN idf USING (term)),
+norms AS (SELECT path, statement, sqrt(sum(value * value)) AS norm FROM valued GROUP BY ALL),
+cosines AS (
+  SELECT path, name, round(sum(value * part) / max(norm), 6) AS cosine
+  FROM valued JOIN parts USING (term) JOIN norms USING (path, statement) GROUP BY path, statement, name
+), own AS (
+  SELECT path, name AS own_license, cosine AS own_cosine FROM cosines WHERE cosine >= {licenses.NEAR}
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, name) = 1
+), given AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS license_dir, arg_min(own_license, path) AS inherited
+  FROM own WHERE regexp_matches(path, '(^|/)LICENSE([.-][^/]*)?$') GROUP BY 1
+), placed AS (SELECT *, regexp_replace(path, '/?[^/]*$', '') AS dir FROM files),
+nearest AS (
+  SELECT dir, arg_max(license_dir, length(license_dir)) AS license_dir, arg_max(inherited, length(license_dir)) AS inherited
+  FROM (SELECT DISTINCT dir FROM placed) JOIN given ON dir = license_dir OR starts_with(dir, license_dir || '/') OR license_dir = '' GROUP BY dir
+)
+SELECT doc_id, path, own_license, own_cosine, coalesce(own_license, inherited) AS license,
+       CASE WHEN own_license IS NULL THEN license_dir END AS license_dir,
+       CASE WHEN own_license IS NOT NULL THEN 'stated' WHEN inherited IS NOT NULL THEN 'inherited' ELSE 'none' END AS basis
+FROM placed LEFT JOIN own USING (path) LEFT JOIN nearest USING (dir)
+"""
+
+
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
 
@@ -119,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": bpe_coding,
     "op1_toxicity": toxic_documents,
     "op2_passages": repeated_passages,
+    "op3_licenses": license_scan,
     "op5_jaccard": ngram_join,
     "op6_quality": quality_rules,
     "op7_chat": chat_format,
@@ -126,7 +181,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": benchmark_leaks,
     "op10_secrets": secret_scan,
 }
-CHECKS: dict[str, str] = {"op7_chat": CHAT_SQL, "op9_decontamination": LEAKS_SQL}
+CHECKS: dict[str, str] = {"op3_licenses": license_sql(), "op7_chat": CHAT_SQL, "op9_decontamination": LEAKS_SQL}
 
 
 def all_queries() -> dict[str, Query]:

@@ -25,7 +25,7 @@ from scanledger.llm.words import NOT_ALPHANUMERIC, Words
 #: Bytes of word beginnings that are features beside the whole word.
 BEGINNINGS = (4, 5, 6, 7)
 #: Labelled documents that train (those with the smallest hash of their id), and features kept.
-MOST_DOCS, MOST_FEATURES = 6000, 20_000
+MOST_DOCS, MOST_FEATURES = 3000, 20_000
 #: Evidence (twice the log-likelihood ratio) for a feature that marks tokens, and for one that is kept.
 MARKS, KEPT = 25.0, 8.0
 STEPS, RATE, RIDGE = 60, 0.2, 1e-3
@@ -55,7 +55,7 @@ class Field:
         if not len(self.names):
             return np.zeros(hashes.shape, dtype=np.int64)
         at = np.minimum(np.searchsorted(self.names, hashes), len(self.names) - 1)
-        return np.where(self.names[at] == hashes, at, len(self.names))
+        return np.where(self.names[at] == hashes, at, len(self.names)).astype(np.int32)
 
     def emissions(self, index: np.ndarray) -> np.ndarray:
         """Log odds of the toxic state by the token alone."""
