@@ -109,10 +109,13 @@ def document_values(probability: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def evidence(hashes: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Feature hashes and signed evidence for toxic documents, from in how many of either kind they are."""
-    pairs = np.unique(np.stack([hashes, owner.astype(np.uint64)]), axis=1)
-    names, first = np.unique(pairs[0], return_index=True)
-    sizes = np.diff(np.append(first, pairs.shape[1]))
-    hit = np.add.reduceat(toxic[pairs[1].astype(np.int64)].astype(np.int64), first) if len(first) else sizes
+    order = np.lexsort((owner, hashes))
+    hashes, owner = hashes[order], owner[order]
+    once = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])]) if len(order) else np.zeros(0, bool)
+    hashes, owner = hashes[once], owner[once]
+    names, first = np.unique(hashes, return_index=True)
+    sizes = np.diff(np.append(first, len(hashes)))
+    hit = np.add.reduceat(toxic[owner].astype(np.int64), first) if len(first) else sizes
     rate = toxic.mean()
     part = np.clip(hit / np.maximum(sizes, 1), 1e-9, 1 - 1e-9)
     ratio = 2 * sizes * (part * np.log(part / rate) + (1 - part) * np.log((1 - part) / (1 - rate)))
