@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from scanledger.llm.common import narrow, text_slices
 from scanledger.llm.words import NOT_ALPHANUMERIC, Words
 
+#: Labelled documents, half of them toxic, whose tokens fit the weights of the field.
+FIELD_DOCS = 800
 #: Bytes of word beginnings that are features beside the whole word.
 BEGINNINGS = (4, 5, 6, 7)
 #: Labelled documents that train (those with the smallest hash of their id), and features kept.
@@ -128,8 +130,10 @@ def train(texts: list[str], toxic: np.ndarray) -> Field:
     flat = Field(np.zeros(0, np.uint64), np.zeros(0), -8.0, np.zeros((2, 2)), 0.0, np.array([np.log(rate / (1 - rate)), 0.0, 0.0]))
     if not len(texts) or toxic.min() == toxic.max():
         return flat
-    words, hashes = features(pa.array(texts, pa.string()))
-    bounds, owner = words.bounds, np.repeat(np.arange(len(words)), np.diff(words.bounds))
+    parts = [features(piece.column(0)) for piece in text_slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], "text", 1 << 20)]
+    lengths, hashes = np.concatenate([np.diff(w.bounds) for w, _ in parts]), np.concatenate([h for _, h in parts], axis=1)
+    del parts
+    owner = np.repeat(np.arange(len(lengths)), lengths)
     found = [evidence(kind, owner, toxic) for kind in hashes]
     names, ratio = (np.concatenate(x) for x in zip(*found, strict=True))
     keep = np.argsort(-np.abs(ratio), kind="stable")[:MOST_FEATURES]
@@ -137,9 +141,14 @@ def train(texts: list[str], toxic: np.ndarray) -> Field:
     keep = keep[np.argsort(names[keep], kind="stable")]
     field = Field(names[keep], np.zeros(len(keep)), -4.0, np.zeros((2, 2)), 0.0, flat.score)
     marking = np.append(ratio[keep] >= MARKS, False)
+    # The weights come from all toxic documents and as many others again, up to a bound.
+    used = np.zeros(len(lengths), dtype=bool)
+    for value in (1, 0):
+        used[np.flatnonzero(toxic == value)[: FIELD_DOCS // 2]] = True
+    hashes, owner, bounds = hashes[:, used[owner]], owner[used[owner]], np.concatenate([[0], np.cumsum(lengths[used])])
     index = field.index(hashes)
+    del hashes
     label = marking[index].any(axis=0) & toxic.astype(bool)[owner]
-    # Only tokens beside known ones tell weights apart; the rest share the bias.
     first = np.zeros(len(label), dtype=bool)
     first[bounds[:-1][np.diff(bounds) > 0]] = True
     inner = ~first
@@ -167,7 +176,10 @@ def train(texts: list[str], toxic: np.ndarray) -> Field:
         slope = np.concatenate([observed - expected, [label.sum() - p.sum(), label[first].sum() - p[first].sum()], (wanted - pairs).ravel()]) / n - RIDGE * weights
         size += slope**2
         weights = weights + RATE * slope / np.sqrt(size + 1e-12)
-    field.score = logistic(document_values(marginals(field.emissions(index), bounds, field.change, field.start), bounds), toxic)
+    field.score = logistic(document_values(marginals(field.emissions(index), bounds, field.change, field.start), bounds), toxic[used])
+    # Toxic documents are a larger part of those used than of all.
+    share = toxic[used].mean()
+    field.score[0] += np.log(rate / (1 - rate)) - np.log(share / (1 - share))
     return field
 
 
