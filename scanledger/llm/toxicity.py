@@ -99,14 +99,14 @@ def marginals(emission: np.ndarray, bounds: np.ndarray, change: np.ndarray, star
 
 
 def document_values(probability: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Of each text: one, the log odds of its most toxic token, and the log of the expected number of toxic tokens."""
+    """Of each text: one, the log odds of its most toxic token, and the number of likely toxic tokens on a scale that flattens."""
     most = np.zeros(len(bounds) - 1)
     filled = np.flatnonzero(np.diff(bounds) > 0)
     if len(filled):
         most[filled] = np.maximum.reduceat(probability, bounds[filled])
-    total = np.diff(np.concatenate([[0], np.cumsum(probability)])[bounds])
+    total = np.diff(np.concatenate([[0], np.cumsum(np.where(probability >= SPAN_THRESHOLD, probability, 0))])[bounds])
     most = np.clip(most, 1e-4, 1 - 1e-4)
-    return np.stack([np.ones(len(most)), np.log(most / (1 - most)), np.log(total + 1e-2)], axis=1)
+    return np.stack([np.ones(len(most)), np.log(most / (1 - most)), np.minimum(total, 3.0)], axis=1)
 
 
 def evidence(hashes: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
