@@ -105,7 +105,7 @@ class BytePairs:
     Chunks that were encoded before are looked up; at most ``keep`` are kept.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 200_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, cut = spec["model"], spec["pre_tokenizer"]
@@ -210,7 +210,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", 2 << 20):
             ids = bpe.encode(t or "" for t in batch.column("text").to_pylist())
             plain = [bpe.decode(i) for i in ids]
             columns = {

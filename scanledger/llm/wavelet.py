@@ -151,7 +151,7 @@ class WordEncoder:
     of a text are encoded apart: :func:`checked` says which do.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 200_000):
         self.tokenizer = checked(path)
         self.keep, self.known = keep, {}
 
