@@ -52,7 +52,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = build_session(
-        f"local[{cpus}]", "bench", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g"}
+        f"local[{cpus}]", "bench", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "12g", "scanledger.partitions": cpus}
     )
     spark.sparkContext.setLogLevel("OFF")
     registered = all_queries()

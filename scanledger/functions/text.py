@@ -138,7 +138,7 @@ def _without_blocks(lines: Column, stays_open: str) -> Column:
 
 def _heading_line(names) -> str:
     words = "|".join(names)
-    return rf"{_LINE_BLANK}*(?i:{words}){_LINE_BLANK}*:?{_LINE_BLANK}*(?=\n|\z)"
+    return rf"{_LINE_BLANK}*+(?i:{words}){_LINE_BLANK}*+:?{_LINE_BLANK}*+(?=\n|\z)"
 
 
 _STAYS_OPEN = {
@@ -189,5 +189,6 @@ def sentences(text: Column) -> Column:
     all blanks around it, so in a stripped text no part needs stripping and only
     an empty text gives an empty part.
     """
-    cut = rf"(?U)(?={_BLANK})(?:(?<=[.?!]){_BLANK}+|{_BLANK}*\n{_BLANK}*)"
+    # A run of blanks is looked at from its start alone, so the cut is linear in the text.
+    cut = rf"(?U)(?<=[.?!]){_BLANK}++|(?<!{_BLANK})(?=[[^\S\n]\x1c-\x1f]*+\n){_BLANK}++"
     return F.array_remove(F.split(strip(text), cut), "")

@@ -432,7 +432,7 @@ _ROWS = f"{TURNS}, stage_rows AS (SELECT CAST(conv_id AS VARCHAR) AS report_id,
 @check
 def stage_append() -> str:
     return f"""WITH {_ROWS}, firsts AS (SELECT report_id, category, max(findings) AS findings FROM stage_rows WHERE conv_id % 3 <> 0 GROUP BY 1, 2),
-    seconds AS (SELECT report_id, category, max('again ' || findings) AS findings FROM stage_rows WHERE conv_id % 2 = 0 GROUP BY 1, 2)
+    seconds AS (SELECT report_id, category, max('again ' || findings) AS findings FROM stage_rows GROUP BY 1, 2)
     SELECT * FROM firsts UNION ALL SELECT * FROM seconds s
     WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.report_id = s.report_id AND f.category = s.category)"""
 
@@ -671,7 +671,7 @@ def answer_readings() -> str:
     SELECT request_id, CAST({yes_no('note')} AS INTEGER) AS as_yes_no, CAST({yes_no('ms')} AS INTEGER) AS text_as_yes_no,
     CAST({_qc_word('note')} AS INTEGER) AS as_qc, CAST({annotation('note', False)} AS INTEGER) AS as_annotation,
     CAST({annotation('note', True)} AS INTEGER) AS as_number,
-    replace(replace(replace(left(text, 60), '?', ''), ' ', '_'), '/', '_') AS question_key FROM notes"""
+    replace(replace(replace(text, '?', ''), ' ', '_'), '/', '_') AS question_key FROM notes"""
 
 
 SHEETS = f"""{TURNS},

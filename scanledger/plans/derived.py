@@ -17,7 +17,7 @@ from ..functions.fixed_values import CONCEPT_QUESTIONS
 from ..operators.combine import combine_stages
 from ..operators.requests import fan_out_categories, fan_out_questions
 from ..operators.responses import to_stage_rows, valid_findings
-from ..session import spread
+from ..session import partitions, spread
 from ..sources.catalog import Catalog, Category
 
 # Report sentences, picked by doc_id modulo the length of each pool ("|" ends a line).
@@ -102,7 +102,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """report_id, report_text for every document, whole texts."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), partitions(spark))
     return documents.selectExpr("CAST(doc_id AS STRING) AS report_id", f"{REPORT_TEXT_SQL} AS report_text")
 
 

@@ -16,7 +16,7 @@ from ..functions.completions import completion_or_reasoning, completion_text
 from ..functions.fixed_values import CONCEPT_QUESTIONS, EVIDENCE_SEPARATOR
 from ..functions.text import eligible_text, sentences
 from ..operators import combine, enforce, labels, metrics, requests, responses, sampling
-from ..session import shared_folder, spread
+from ..session import shared_folder
 from ..sources.reports import last_wins, parse_json_reports
 from ..sources.store import StageStore
 from ..sources.tables import parse_results_documents
@@ -285,7 +285,7 @@ def stage_append(spark, sf_dir):
     store = StageStore(_run_folder(spark, "append"))
     store.append("category_findings", rows.filter("CAST(report_id AS BIGINT) % 3 <> 0"))
     again = rows.withColumn("findings", F.concat(F.lit("again "), "findings"))
-    store.append("category_findings", again.filter("CAST(report_id AS BIGINT) % 2 = 0"))
+    store.append("category_findings", again)
     return store.load(spark, "category_findings")
 
 
@@ -509,7 +509,7 @@ def answer_readings(spark, sf_dir):
         qc_answer(note).alias("as_qc"),
         annotation(note, F.lit(False)).alias("as_annotation"),
         annotation(note, F.lit(True)).alias("as_number"),
-        question_key(F.substring("text", 1, 60)).alias("question_key"),
+        question_key(F.col("text")).alias("question_key"),
     )
 
 
@@ -644,7 +644,7 @@ def reports_last_wins(spark, sf_dir):
     """Three report files that repeat ids: the last text of each id."""
     reports = derived.reports(spark, sf_dir)
     newer = reports.filter(f"{_ID} % 3 = 0").withColumn("report_text", F.concat(F.lit("newer "), "report_text"))
-    other = spread(derived.table(spark, sf_dir, "benchmark")).selectExpr(
+    other = derived.table(spark, sf_dir, "benchmark").selectExpr(
         "CAST(item_id AS STRING) AS report_id", "text AS report_text"
     )
     parts = [df.withColumn("ord", F.lit(i)) for i, df in enumerate((reports, newer, other))]

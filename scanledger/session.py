@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,31 +25,24 @@ def build_session(master: str | None = None, app: str = "scanledger", **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: the one the cluster names.
+    """The folder that the driver and all executors share.
 
-    Only a local session without one gets a folder of its own; on a cluster a
-    missing setting is an error, as a machine's own folder would lose data.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset the
+    session's checkpoint folder counts, then one inside the warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="scanledger-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scanledger").rstrip("/")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core when the input arrives in fewer pieces than there are cores.
+def partitions(spark: SparkSession) -> int | None:
+    """The setting ``scanledger.partitions``: pieces to deal reports to, or none to keep those they are read in."""
+    named = spark.conf.get("scanledger.partitions", None)
+    return int(named) if named else None
 
-    A small table in a single file is read by one task.  A large one has more
-    pieces than cores already and is returned as it is, without a shuffle.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows evenly to that many partitions, for tables that arrive in too few pieces; none keeps them."""
+    return df.repartition(partitions) if partitions else df
 
 
 def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

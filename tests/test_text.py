@@ -136,3 +136,16 @@ def test_label_prompt_lists_every_concept(spark):
     got = column(spark, ["Spleen.", None], label_prompt)
     assert all(f'"{c}": 0' in got[0] and f'"{c}": []' in got[0] for c in fixed.CONCEPT_QUESTIONS)
     assert got[0].endswith("FINDINGS TEXT:\n-----\nSpleen.\n-----\n") and got[1].endswith("-----\n\n-----\n")
+
+
+def test_long_runs_of_blanks_are_linear(spark):
+    import time
+
+    run = " " * 1_000_000
+    rows = [(f"a{run}b",), (f"a{run}\nb",), (f"history{run}b",), (f"history{run}\nFINDINGS:\nc",)]
+    df = spark.createDataFrame(rows, "text string").coalesce(1)
+    start = time.perf_counter()
+    out = [r[0] for r in df.select(sentences(F.col("text"))).collect()]
+    df.select(eligible_text(F.col("text"))).collect()
+    assert time.perf_counter() - start < 20
+    assert out[0] == [f"a{run}b"] and out[1] == ["a", "b"]
