@@ -8,6 +8,7 @@ the planes gives an id by place, the number of times an id occurs, and where.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -151,7 +152,9 @@ class WordEncoder:
     of a text are encoded apart: :func:`checked` says which do.
     """
 
-    def __init__(self, path: str, keep: int = 200_000):
+    def __init__(self, path: str, keep: int = 800_000):
+        # A task has one core: the library's own threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = checked(path)
         self.keep, self.known = keep, {}
 
@@ -163,14 +166,26 @@ class WordEncoder:
         new = list(seen - known.keys())
         if len(known) + len(new) > self.keep:
             known = {w: known[w] for w in seen & known.keys()}
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known |= {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(new, encoded, strict=True)}
+        known |= zip(new, self.encode_words([w.decode() for w in new]), strict=True)
         get = known.__getitem__
         out = [b"".join(map(get, ws)) for ws in cut]
         self.known = known if len(known) <= self.keep else {}
         return out
 
 
+    def encode_words(self, words: list[str], together: int = 2000) -> list[bytes]:
+        """Ids of each word; many go to the library as one text, whose tokens are told apart by where they start."""
+        groups = [words[i : i + together] for i in range(0, len(words), together)]
+        out = []
+        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            starts = np.cumsum([0, *(len(w) + 1 for w in group)])
+            owner = np.searchsorted(starts, np.array([s for s, _ in found.offsets], dtype=np.int64), side="right") - 1
+            ends = np.cumsum(np.bincount(owner, minlength=len(group))) * 4
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            out += [ids[s:e] for s, e in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return out
+
+
 def checked(path: str) -> Tokenizer:
     """The tokenizer of a file, without truncation and padding, if its words stand apart."""
     tokenizer = Tokenizer.from_file(path)
