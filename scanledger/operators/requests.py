@@ -65,23 +65,24 @@ def pending(candidates: DataFrame, done: DataFrame | None, keys: Sequence[str])
 def _fan_out(inputs: DataFrame, rows: Column, done: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """One row per input row and catalog entry that is not finished yet.
 
-    Finished entries are gathered per report, at most the catalog's, and looked
-    up while the row is exploded: texts are moved once per report, not once per
-    question.
+    Finished entries become their places in the catalog, which as a table of its
+    places is broadcast (its size is that of the catalog).  They are gathered per
+    report, at most the catalog's, and one difference of two sets of numbers
+    leaves the open places: the work per report grows with the catalog, not with
+    its square, and texts are moved once per report, not once per question.
     """
     if done is None:
         return inputs.select("*", F.inline(rows))
     own = [k for k in keys if k != "report_id"]
-    key = F.struct(*own)
-    finished = done.groupBy("report_id").agg(F.collect_set(key).alias("__done"))
+    places = done.sparkSession.range(1).select(F.posexplode(rows).alias("__place", "__entry"))
+    places = places.select("__place", *[F.col(f"__entry.{k}").alias(k) for k in own])
+    finished = done.select(*keys).join(F.broadcast(places), own).groupBy("report_id").agg(F.collect_set("__place").alias("__done"))
     joined = inputs.join(finished, "report_id", "left")
-    open_rows = F.filter(
-        rows,
-        lambda r: ~F.coalesce(
-            F.array_contains(F.col("__done"), F.struct(*[r[k].alias(k) for k in own])), F.lit(False)
-        ),
+    none = F.array().cast("array<int>")
+    still_open = F.array_except(F.sequence(F.lit(0), F.size(rows) - 1), F.coalesce("__done", none))
+    return joined.select(*inputs.columns, F.explode(still_open).alias("__at")).select(
+        *inputs.columns, F.inline(F.array(F.get(rows, F.col("__at"))))
     )
-    return joined.select(*inputs.columns, F.inline(open_rows))
 
 
 def fan_out_categories(findings: DataFrame, catalog: Catalog, done: DataFrame | None = None) -> DataFrame:

@@ -38,6 +38,19 @@ def test_resume_moves_texts_once_per_report(spark):
     assert plan.index("Generate inline") < plan.index("Join LeftOuter") and "LeftAnti" not in plan
 
 
+def test_resume_with_a_large_catalog(spark):
+    """Every finished entry is left out, one that the catalog lacks does no harm."""
+    catalog = Catalog("big", tuple(Category(f"c{i}", "d", tuple(f"q{j}?" for j in range(20))) for i in range(12)))
+    reports = reports_of(spark, "a", "b", "c")
+    asked = build_requests("questions", reports, catalog).select("report_id", "category", "question_id")
+    done = asked.filter("hash(report_id, category, question_id) % 3 = 0 OR report_id = '2'")
+    gone = spark.createDataFrame([("0", "other", "x"), ("9", "c1", None)], "report_id string, category string, question_id string")
+    rest = build_requests("questions", reports, catalog, done.unionByName(done).unionByName(gone)).select(*asked.columns)
+    want = {tuple(r) for r in asked.subtract(done).collect()}
+    got = [tuple(r) for r in rest.collect()]
+    assert len(got) == len(want) < 480 and set(got) == want
+
+
 def test_empty_findings_are_not_asked(spark):
     rows = [("1", "No such section"), ("2", " "), ("3", None), ("4", "NO FINDINGS SECTION "), ("5", "text")]
     findings = spark.createDataFrame(rows, "report_id string, findings string")
