@@ -47,7 +47,8 @@ def take_lowest(
     """The ``n`` rows of each stratum that come first in the seed's order.
 
     ``n`` may be a function that adds a ``__quota`` column to the histogram.
-    ``ids`` identify a row within its stratum.
+    ``ids`` identify a row within its stratum.  ``strata`` are columns of few
+    values, such as the categories of a catalog: one row of each is broadcast.
     """
     keyed, strata = _keyed(df, seed, ids), list(strata)
     histogram = _histogram(keyed, strata)
@@ -57,7 +58,9 @@ def take_lowest(
         near = keyed.filter(F.col(_BIN) <= reached.agg(F.max(_BIN)).scalar())
         return near.orderBy(_KEY, *ids).limit(int(n)).select(*df.columns)
     cut = reached.groupBy(*strata).agg(F.max(_BIN).alias(_CUT), F.max(_QUOTA).alias(_QUOTA))
-    near = keyed.join(cut, strata).filter(F.col(_BIN) <= F.col(_CUT))
+    # One row per stratum.  Strata are categories of a catalog, a few hundred: the
+    # pieces are filtered where they lie, before anything is dealt by stratum.
+    near = keyed.join(F.broadcast(cut), strata).filter(F.col(_BIN) <= F.col(_CUT))
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy(_KEY, *ids))
     return near.withColumn("__rank", rank).filter(F.col("__rank") <= F.col(_QUOTA)).select(*df.columns)
 
@@ -105,7 +108,9 @@ def qc_findings(results: DataFrame, budget: int = 40, seed: int = 42) -> DataFra
 def qc_categories(results: DataFrame, budget: int = 10, seed: int = 42) -> DataFrame:
     """Per category up to 70 % relevant findings, the rest of the budget without any.
 
-    Texts of reports are joined to the sample, not carried through it.
+    Texts of reports are joined to the sample, not carried through it.  The
+    sample has at most the budget's rows for each category of the catalog, so it
+    is broadcast and the texts of all other reports stay where they are.
     """
     entries = results.select("report_id", F.explode("category_findings").alias("category", "category_finding"))
     entries = entries.withColumn(
@@ -120,7 +125,7 @@ def qc_categories(results: DataFrame, budget: int = 10, seed: int = 42) -> DataF
 
     sample = take_lowest(entries, quota, seed, ["report_id", "category"], strata=["category", "none"])
     return (
-        sample.join(results.select("report_id", "raw_text"), "report_id")
+        results.select("report_id", "raw_text").join(F.broadcast(sample), "report_id")
         .select(
             F.col("report_id").alias("query_id"),
             "category",
@@ -205,8 +210,9 @@ def _locate(draws: DataFrame, histogram: DataFrame, group: Sequence[str]) -> Dat
 
 def qc_questions(results: DataFrame, budget: int = 50, seed: int = 42) -> DataFrame:
     """Answers for review, half of them positive, with a column to fill in."""
-    drawn = draw_questions(question_examples(results), budget, seed)
-    return drawn.join(results.select("report_id", "raw_text"), "report_id").select(
+    # At most ``budget`` rows: they go to the texts, not the texts to them.
+    drawn = F.broadcast(draw_questions(question_examples(results), budget, seed))
+    return results.select("report_id", "raw_text").join(drawn, "report_id").select(
         F.col("report_id").alias("query_id"),
         "question",
         "raw_text",

@@ -32,6 +32,17 @@ def test_lowest_per_stratum_is_exact(spark, n):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_pieces_are_filtered_before_rows_are_dealt(spark):
+    """Without automatic broadcasts the rows of a hot stratum are still cut where they lie."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        taken = sampling.take_lowest(skewed(spark), 10, 3, ["report_id"], ["stratum"])
+        plan = taken._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_only_a_piece_of_the_order_is_ranked(spark):
     """The rows that reach the ranking are few, however many a stratum holds."""
     keyed = sampling._keyed(skewed(spark), 3, ["report_id"])
