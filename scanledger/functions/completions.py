@@ -97,8 +97,14 @@ def quote_in_text(quote: Column, squeezed_text: Column) -> Column:
 
 
 def json_block(text: Column) -> Column:
-    """The JSON between the first { and the last }, null if there is none."""
-    return F.try_parse_json(F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit("")))
+    """The JSON between the first { and the last }, null if there is none.
+
+    NaN and Infinity are read as numbers.  Of repeated keys the last counts in a
+    session with ``spark.sql.variant.allowDuplicateKeys``, which ``build_session``
+    sets; without that setting such a block is null.
+    """
+    block = F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))
+    return F.coalesce(F.try_parse_json(block), F.from_json(block, "variant", {"allowSingleQuotes": "false"}))
 
 
 def coerced_label(value: Column) -> Column:

@@ -95,18 +95,22 @@ def enforce_labels(df: DataFrame, text_col: str, concepts: Sequence[str] = CONCE
     return checked.drop(_ELIGIBLE, _SQUEEZED)
 
 
-def parse_label_responses(df: DataFrame, text_col: str = "report_text", content_col: str = "content") -> DataFrame:
+def parse_label_responses(
+    df: DataFrame, text_col: str = "report_text", content_col: str = "content", mode: str = "report"
+) -> DataFrame:
     """Reports with a response each -> result columns and the raw payload.
 
-    A response without usable JSON falls back to the rule labels.  Both are
-    branches of one expression per row: the rules only run for such rows.
+    A response without usable JSON falls back to the rule labels, which read the
+    text as ``mode`` says ("report" or "direct").  Both are branches of one
+    expression per row: the rules only run for such rows.
     """
     rules_only = F.col(_PAYLOAD).isNull() | (F.to_json(F.col(_PAYLOAD)) == "{}")
     kept = [c for c in df.columns if c != text_col]
     rule_text, rule_name = "__rule_text", "__rule_{}".format
     prepared = settle(df, {_PAYLOAD: json_block(F.col(f"`{content_col}`"))})
     # Without text the rules find no anchor word and stop there.
-    ruled = label_results(prepared.withColumn(rule_text, F.when(rules_only, F.col(f"`{text_col}`"))), text_col=rule_text)
+    fallback = prepared.withColumn(rule_text, F.when(rules_only, F.col(f"`{text_col}`")))
+    ruled = label_results(fallback, text_col=rule_text, mode=mode)
     ruled = ruled.withColumnsRenamed({c: rule_name(c) for c in CONCEPTS}).drop(rule_text)
     enforced = enforce_labels(parse_labels(ruled, _PAYLOAD), text_col)
     chosen = [F.when(rules_only, F.col(rule_name(c))).otherwise(F.col(c)).alias(c) for c in CONCEPTS]

@@ -15,6 +15,7 @@ def build_session(master: str | None = None, app: str = "scanledger", **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from scanledger.functions.completions import completion_or_reasoning, completion_text
 from scanledger.operators import responses
 from scanledger.operators.enforce import enforce_labels, parse_label_responses, parse_labels
+from scanledger.operators.labels import label_results
 from scanledger.operators.labels import to_long
 from scanledger.operators.lexicon import default_lexicon
 from tests import checker
@@ -214,3 +215,25 @@ def test_filter_on_a_result_column_stays_cheap(spark):
     parsed = parse_label_responses(df).filter("fracture.label = 1 AND renal_cyst.label = 0 AND ascites.label < 1")
     assert parsed.count() == 1
     assert len(parsed._jdf.queryExecution().optimizedPlan().toString()) < 400_000
+
+
+def test_replies_with_nan_and_repeated_keys(spark):
+    """NaN is no label, the last of repeated keys counts, single quotes are no JSON."""
+    text = "Findings: Simple ascites is seen. No fracture."
+    replies = [
+        '{"labels": {"ascites": NaN, "fracture": 0}, "evidence": {}}',
+        '{"labels": {"ascites": 0, "ascites": -1}, "evidence": {}}',
+        "{'labels': {'ascites': -1}}",
+    ]
+    df = spark.createDataFrame([(str(i), text, r) for i, r in enumerate(replies)], "report_id string, report_text string, content string")
+    got = {r.report_id: r for r in parse_label_responses(df).collect()}
+    assert got["0"].ascites.label == 0 and got["1"].ascites.label == -1
+    assert got["2"].raw_payload == "{}" and got["2"].ascites.label == 1
+
+
+def test_replies_fall_back_in_the_wanted_mode(spark):
+    """Without usable JSON the result is that of the rules in the same mode."""
+    df = spark.createDataFrame([("1", "Impression: Ascites is seen.", "none"), ("2", "Ascites. History: fracture.", "")], "report_id string, report_text string, content string")
+    for mode in ("report", "direct"):
+        ruled = label_results(df, mode=mode).orderBy("report_id").select("ascites", "fracture").collect()
+        assert parse_label_responses(df, mode=mode).orderBy("report_id").select("ascites", "fracture").collect() == ruled
