@@ -127,9 +127,11 @@ def empty_counts(responses: DataFrame) -> DataFrame:
     return responses.agg(F.count_if(filled).alias("n_non_empty"), F.count_if(~filled).alias("n_empty"))
 
 
-def first_samples(responses: DataFrame, n: int = 5, only_empty: bool = False) -> DataFrame:
-    """A few responses to look at, lowest ids first."""
-    rows = responses
+def first_samples(
+    responses: DataFrame, n: int = 5, only_empty: bool = False, rejected_by: str | None = None
+) -> DataFrame:
+    """A few responses to look at, lowest ids first: any, empty ones, or those a stage rejects."""
+    rows = split_valid(responses, rejected_by)[1] if rejected_by else responses
     if only_empty:
         rows = rows.filter(strip(F.coalesce(F.col("content"), F.lit(""))) == "")
     return rows.orderBy("request_id").limit(n)

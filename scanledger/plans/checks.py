@@ -402,6 +402,15 @@ def response_samples() -> str:
     UNION ALL (SELECT request_id, content, 'empty' AS kind FROM turns WHERE {strip('content')} = '' ORDER BY request_id LIMIT 3)"""
 
 
+@check
+def rejected_samples() -> str:
+    parts = [
+        f"(SELECT request_id, content, '{stage}' AS stage FROM turns WHERE {_refused('content', refused)} ORDER BY request_id LIMIT 10)"
+        for stage, refused in (("findings", fixed.NO_SECTION), ("category_findings", fixed.FAILED_CATEGORY))
+    ]
+    return f"WITH {TURNS} " + " UNION ALL ".join(parts)
+
+
 @check
 def missing_results() -> str:
     return f"WITH {TURNS} SELECT request_id FROM turns WHERE (conv_id + turn) % 4 = 1"

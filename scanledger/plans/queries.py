@@ -225,6 +225,17 @@ def response_samples(spark, sf_dir):
     )
 
 
+@query
+def rejected_samples(spark, sf_dir):
+    """The first ten responses that each checking stage rejects."""
+    answered = _answered(spark, sf_dir)
+    parts = [
+        responses.first_samples(answered, 10, rejected_by=stage).withColumn("stage", F.lit(stage))
+        for stage in ("findings", "category_findings")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def _asked_and_answered(spark, sf_dir):
     turns = derived.turns(spark, sf_dir)
     return turns.select("request_id"), turns.filter("(conv_id + turn) % 4 <> 1").select("request_id", "content")
