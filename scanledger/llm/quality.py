@@ -2,9 +2,10 @@
 
 The counts of a text become a vector of transformed rates.  For each language
 and source the minimum covariance determinant is sought by concentration steps
-over all of its rows: take the half and more of the rows that lie nearest by the
-present center and scatter, estimate both anew from them, and repeat.  Rows far
-from the final estimate in Mahalanobis distance are rejected.
+over all of its rows: take the half of the rows that lie nearest by the present
+center and scatter, estimate both anew from them, and repeat.  Rows far from the
+final estimate in Mahalanobis distance are rejected.  The half-set holds
+(n + p + 1) / 2 of n rows, so that outliers may be up to almost half of a group.
 
 Each step is two aggregations with a map-side part, one histogram of distances
 and one set of sums, so a group of any size is never gathered.  Only the
@@ -31,9 +32,9 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 RATES = ("word_length", "symbols", "dup_lines", "repeats")
 #: Spread that each rate has at least: below it a difference says nothing about quality.
 FLOORS = (0.05, 0.05, 0.08, 0.08)
-#: Part of the rows in the half-set, quantiles of chi-squared with four degrees of
-#: freedom (half, and 0.975 for reweighting), steps, and the distance of a reject.
-NEAREST, MEDIAN, INNER, STEPS, CUTOFF = 0.75, 3.3567, 11.1433, 4, 60.0
+#: Quantiles of chi-squared with four degrees of freedom (half, and 0.975 for
+#: reweighting), steps, and the distance of a reject.
+MEDIAN, INNER, STEPS, CUTOFF = 3.3567, 11.1433, 4, 60.0
 #: Groups with fewer rows are judged together; so few rows in all are not judged.
 LEAST_ROWS = 50
 #: Groups up to this number are sent to every task; more are joined by shuffle.
@@ -127,12 +128,12 @@ def distance(vector: list[Column], center: Column, inverse: Column) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def nearest(rows: DataFrame, value: Column, part: float) -> DataFrame:
-    """For each group a value that this part of its rows does not pass, by a histogram in steps of half a percent."""
+def nearest(rows: DataFrame, value: Column, least: Column) -> DataFrame:
+    """For each group a value that so many of its rows (of ``all``) do not pass, by a histogram in steps of half a percent."""
     bins = rows.select("grp", F.floor(F.log(value + 1e-9) * 200).alias("bin")).groupBy("grp", "bin").count()
     order = Window.partitionBy("grp").orderBy("bin")
     counted = bins.withColumns({"below": F.sum("count").over(order), "all": F.sum("count").over(Window.partitionBy("grp"))})
-    return counted.where(F.col("below") >= part * F.col("all")).groupBy("grp").agg(F.exp((F.min("bin") + 1) / 200).alias("limit"))
+    return counted.where(F.col("below") >= F.least(least, F.col("all"))).groupBy("grp").agg(F.exp((F.min("bin") + 1) / 200).alias("limit"))
 
 
 def estimates(rows: DataFrame) -> DataFrame:
@@ -181,14 +182,15 @@ def fit(rows: DataFrame) -> DataFrame:
     """The robust estimate of each group (grp, center, inverse) from rows (grp, x0, x1, ...)."""
     vector = [F.col(f"x{i}") for i in range(len(RATES))]
     far = distance(vector, F.col("center"), F.col("inverse"))
+    half = F.floor((F.col("all") + len(RATES) + 1) / 2)
     now = staged(starts(rows), "estimate")
     for _ in range(STEPS):
         with_now = joined(rows, now, "grp").withColumn("far", far)
-        limit = staged(nearest(with_now, F.col("far"), NEAREST), "limit")
+        limit = staged(nearest(with_now, F.col("far"), half), "limit")
         now = staged(estimates(joined(with_now, limit, "grp").where(F.col("far") <= F.col("limit"))), "estimate")
     # The half-set is too narrow by a factor that the median distance shows; then one reweighting.
     with_now = joined(rows, now, "grp").withColumn("far", far)
-    limit = staged(nearest(with_now, F.col("far"), 0.5), "limit")
+    limit = staged(nearest(with_now, F.col("far"), F.col("all") / 2), "limit")
     inner = joined(with_now, limit, "grp").where(F.col("far") <= INNER * F.greatest(F.col("limit") / MEDIAN, F.lit(1.0)))
     return staged(estimates(inner), "estimate")
 

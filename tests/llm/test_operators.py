@@ -253,6 +253,17 @@ def test_quality(spark, awkward):
     assert not quality.judge(docs.limit(0)).count()
 
 
+@pytest.mark.parametrize("part", [0.2, 1 / 3, 0.4])
+def test_quality_of_a_group_with_many_outliers(spark, part):
+    """A block of junk that the base rules pass is rejected, up to a third of its group and more, and no clean row is."""
+    n = 600
+    junk = {i for i in range(n) if int((i + 1) * part) > int(i * part)}
+    texts = [(i, " ".join(f"{w}###" if i in junk else w for w in words(1000 + i, 80 + i % 60))) for i in range(n)]
+    judged = quality.judge(documents(spark, texts)).collect()
+    assert not any(r.base_failed for r in judged)
+    assert {r.doc_id for r in judged if not r.kept} == junk
+
+
 def test_decontamination(spark):
     items = [words(100 + i, 30 + i, 10_000) for i in range(20)] + [["solo", "pair"]]
     rows = [(i, " ".join(words(i, 200, 10_000) + items[i] + words(i + 50, 3000, 10_000))) for i in range(20)]
