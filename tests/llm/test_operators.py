@@ -289,6 +289,30 @@ def test_licences(spark):
     assert all(r.path == r.own_license for r in licenses.scan_licences(stated).collect())
 
 
+def test_licence_texts_headers_and_names(spark):
+    texts = licenses.licence_texts()
+    notice = {n: t for n, t in reversed(texts) if len(t) < 2500}
+    full = {n: t for n, t in texts if len(t) > 6000}
+
+    def comment(text, mark):
+        return "\n".join(f"{mark} {' '.join(text.split()[i : i + 11])}" for i in range(0, len(text.split()), 11))
+
+    mine = "Copyright (c) 2021 Jane Roe. All rights reserved.\n\n"
+    rows = {f"full/{n}/LICENSE": (n, t) for n, t in full.items()}
+    rows |= {f"whole/{n}/COPYING.txt": (n, mine + notice[n]) for n in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC")}
+    rows |= {f"line/{n}.py": (n, "#!/usr/bin/python\n#\n" + comment("Frob the input. Copyright 2020 Jane Roe. " + t, "#") + "\nimport frob\n" * 50) for n, t in notice.items()}
+    rows |= {f"block/{n}.c": (n, "/*\n" + comment(mine + t, "") + "\n */\nint frob;\n" * 50) for n, t in notice.items()}
+    rows |= {f"spdx/{i}": (n, f"// SPDX-License-Identifier: {e}\nint frob;\n") for i, (n, e) in enumerate([("MIT", "MIT"), ("GPL-3.0", "GPL-3.0-or-later"), ("GPL-2.0", "GPL-2.0+ */"), ("Apache-2.0", "(Apache-2.0 OR MIT)"), (None, "Frob-1.0")])}
+    rows["title/a/LICENSE"] = ("CC-BY-SA-4.0", "Attribution-ShareAlike 4.0 International\n\nTerms.\n")
+    rows["title/b/LICENSE"] = ("EPL-2.0", "Eclipse Public License - v 2.0\n\nTerms.\n")
+    prose = "the members of the board met in the house of the lord and that is to say it was any of these or such as may be for a while. "
+    rows["prose/LICENSE"] = (None, prose * 30)
+    rows["code.py"] = (None, "# Frob the input, in place.\n# See the manual for details of this program.\n" + "x = 1\n" * 30)
+    files = spark.createDataFrame([(p, t) for p, (_, t) in rows.items()], "path string, text string")
+    got = {r.path: r.own_license for r in licenses.scan_licences(files).collect()}
+    assert got == {p: n for p, (n, _) in rows.items()}
+
+
 def test_marginals_are_those_of_all_paths():
     rng = np.random.default_rng(0)
     emission, change, bounds = rng.normal(size=7), rng.normal(size=(2, 2)), np.array([0, 0, 5, 7])
