@@ -198,6 +198,44 @@ def test_passages(spark, awkward):
     assert not passages.repeated_passages(documents(spark, awkward).limit(0)).count()
 
 
+def uncovered(found, texts, least):
+    """Places of stretches that stand word for word in another document, and in no passage found for theirs."""
+    at = defaultdict(set)
+    for i, t in texts:
+        w = t.split()
+        for p in range(len(w) - least - 3):
+            at[tuple(w[p : p + least + 4])].add((i, p))
+    spans = defaultdict(list)
+    for r in found:
+        spans[r.doc_id].append((r.start_word, r.end_word))
+    repeated = {x for group in at.values() if len({i for i, _ in group}) > 1 for x in group}
+    assert repeated
+    return {(i, p) for i, p in repeated if not any(s <= p and p + least + 3 <= e for s, e in spans[i])}
+
+
+def test_stretch_keys():
+    runs = passages.mix(np.random.default_rng(0).integers(0, 3, 2000).astype(np.uint64))
+    for least in (3, 46):
+        keys = passages.stretch_keys(runs, least)
+        wanted = [tuple(runs[i : i + least].tolist()) for i in range(len(runs) - least + 1)]
+        assert len(keys) == len(wanted) and len(set(keys.tolist())) == len(set(wanted)) == len(set(zip(keys.tolist(), wanted, strict=True)))
+
+
+def test_every_exact_passage_has_a_partner(spark):
+    """Shingles of a passage that lower ids hold in another context do not hide it."""
+    texts, fresh = [], 100
+    for case in range(30):
+        passage = words(5000 + case, 50, 10**6)
+        for _ in range(4):
+            texts.append((len(texts), " ".join(words(fresh, 40, 10**6) + passage[:26] + words(fresh + 1, 40, 10**6))))
+            fresh += 2
+        for _ in range(2):
+            texts.append((len(texts) + 1000, " ".join(words(fresh, 60, 10**6) + passage + words(fresh + 1, 60, 10**6))))
+            fresh += 2
+    found = passages.repeated_passages(documents(spark, texts)).collect()
+    assert not uncovered(found, texts, passages.LEAST)
+
+
 def test_compact_windows():
     rng = np.random.default_rng(0)
     for least in (2, 5):
