@@ -236,6 +236,25 @@ def test_every_exact_passage_has_a_partner(spark):
     assert not uncovered(found, texts, passages.LEAST)
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_every_place_of_a_passage_counts(spark, first):
+    """A document that holds a passage twice has a row for both places, wherever it stands."""
+    passage = words(1, 80, 10**6)
+    twice = " ".join(words(2, 90, 10**6) + passage + words(3, 300, 10**6) + passage + words(4, 50, 10**6))
+    once = " ".join(words(5, 70, 10**6) + passage + words(6, 60, 10**6))
+    texts = [(1, twice), (2, once)] if first else [(1, once), (2, twice)]
+    found = passages.repeated_passages(documents(spark, texts)).collect()
+    assert not uncovered(found, texts, passages.LEAST)
+
+
+def test_all_windows_of_the_first_document_are_linked():
+    key, doc, place = np.array([7, 7, 7, 8]), np.array([1, 1, 2, 1]), np.array([5, 300, 9, 6])
+    links, sent = passages.link_runs(key, doc, np.zeros(4, np.int32), place, place - 3, place + 60)
+    found = {(a, ca, b, cb) for a, ca, b, cb in zip(*(links[i].tolist() for i in (1, 3, 6, 7)), strict=True)}
+    assert found == {(2, 9, 1, 5), (1, 300, 2, 9)}
+    assert sorted(sent.tolist()) == [0, 1, 3]
+
+
 def test_compact_windows():
     rng = np.random.default_rng(0)
     for least in (2, 5):
