@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, licenses, passages, quality, toxicity, wavelet
+from scanledger.llm import (
+    alignment,
+    bpe,
+    chat,
+    credentials,
+    decontamination,
+    extraction,
+    jaccard,
+    licenses,
+    passages,
+    quality,
+    runs,
+    toxicity,
+    wavelet,
+)
 from scanledger.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +183,47 @@ GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles
 """
 
 
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_texts(table(spark, sf_dir, "documents"), *paths, keep_groups=False).drop("groups")
+
+
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract_text(pages, extraction.fit(pages))
+
+
+#: The layout of the given pages in SQL: what stands in the one article, block by block.
+MAIN_TEXT_SQL = r"""
+WITH marked AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(
+    regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '[\s\x{a0}]+', ' ', 'g'),
+    '</?(p|h1|ul|li|div)>', chr(10), 'g'), '<br>', ' ', 'g') AS body
+  FROM pages
+), lines AS (
+  SELECT page_id, url, list_transform(string_split(regexp_replace(body, '<[^>]*>', '', 'g'), chr(10)),
+    lambda line: replace(replace(replace(replace(replace(line, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&')) AS said
+  FROM marked
+), joined AS (
+  SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(said, lambda line: trim(regexp_replace(line, ' +', ' ', 'g'))), lambda line: line <> ''), chr(10)), '') AS text
+  FROM lines
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM joined
+"""
+
+
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), planted=True, keep_collapsed=False)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_bpe": bpe_coding,
     "op1_toxicity": toxic_documents,
@@ -180,8 +235,11 @@ QUERIES: dict[str, Query] = {
     "op8_wavelet": wavelet_files,
     "op9_decontamination": benchmark_leaks,
     "op10_secrets": secret_scan,
+    "op11_alignment": token_alignment,
+    "op12_extraction": main_text,
+    "op13_runs": word_runs,
 }
-CHECKS: dict[str, str] = {"op3_licenses": license_sql(), "op7_chat": CHAT_SQL, "op9_decontamination": LEAKS_SQL}
+CHECKS: dict[str, str] = {"op3_licenses": license_sql(), "op7_chat": CHAT_SQL, "op9_decontamination": LEAKS_SQL, "op12_extraction": MAIN_TEXT_SQL}
 
 
 def all_queries() -> dict[str, Query]:

@@ -20,7 +20,7 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     assert {*all_queries(), "pipeline"} <= set(contract.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in all_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in all_queries()) == list(range(1, 14))
 
 
 def test_pipeline(spark, sf_dir):
