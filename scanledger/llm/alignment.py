@@ -24,7 +24,6 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import os
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -35,6 +34,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -43,6 +43,8 @@ from pyspark.sql import functions as F
 from scanledger.llm.bpe import byte_letters
 from scanledger.llm.common import narrow, shared_dir, text_slices
 
+#: Fixed by the vocabulary: how a text is cut before merging.
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Runs that are merged at once.
 FAN_IN = 64
 #: Radix digits: B ids are dealt to so many kinds of runs.
@@ -71,22 +73,21 @@ class TwoTokenizers:
     """The byte-level vocabulary A and the piece vocabulary B."""
 
     def __init__(self, path_a: str, path_b: str):
-        # A task has one core: the library's own threads would only wait for each other.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(path_a)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         with open(path_a, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab, special = spec["model"]["vocab"], {t["content"] for t in spec["added_tokens"]}
         value = {letter: byte for byte, letter in enumerate(byte_letters())}
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            known = all(c in value for c in token)
-            self.bytes_a[i] = bytes(value[c] for c in token) if known else token.encode()
+            self.bytes_a[i] = token.encode() if token in special else bytes(value[c] for c in token)
+        merged_ids = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+        cut = spec["pre_tokenizer"]
+        if spec["normalizer"] or cut["type"] != "ByteLevel" or cut["add_prefix_space"] or merged_ids != sorted(merged_ids):
+            raise ValueError("only byte-level vocabularies in order of their merges, without a normalizer, are supported")
+        # With ids in order of the merges a token's id is the rank it is merged by.
+        ranks = {self.bytes_a[i]: i for token, i in vocab.items() if token not in special}
+        self.a = tiktoken.Encoding(path_a, pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.length_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
@@ -99,10 +100,9 @@ class TwoTokenizers:
     def align(self, texts: Iterable[str | None]) -> list[Aligned]:
         """Tokens of each text and where they end together; nothing where the tokens do not say the text again."""
         texts = [t or "" for t in texts]
-        encoded = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         out = []
-        for text, ids, pieces in zip(texts, encoded, self.b.encode(texts, num_threads=1), strict=True):
-            a, whole = ids.ids, b" " + text.encode()
+        for text, pieces in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            a, whole = self.a.encode_ordinary(" " + text), b" " + text.encode()
             if not text or b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, pieces)) != whole:
                 out.append(NOTHING)
                 continue

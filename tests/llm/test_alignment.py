@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from scanledger.llm import alignment
 from scanledger.llm.queries import token_alignment
@@ -16,10 +17,11 @@ DOC = "doc_id long, text string, slice string, docs long, n_a long"
 
 def by_hand(rows):
     """The result by a loop over tokens and one dictionary of all links."""
-    both = alignment.TwoTokenizers(*PATHS)
+    both, library = alignment.TwoTokenizers(*PATHS), Tokenizer.from_file(PATHS[0])
+    library.encode_special_tokens = True
     counts, texts = Counter(), []
     for i, text in rows:
-        a, b = both.a.encode(" " + (text or ""), add_special_tokens=False).ids, both.b.encode(text or "")
+        a, b = library.encode(" " + (text or ""), add_special_tokens=False).ids, both.b.encode(text or "")
         whole = b" " + (text or "").encode()
         groups, links = [], []
         if text and b"".join(both.bytes_a[x] for x in a) == whole == b"".join(both.bytes_b[x] for x in b):
@@ -94,3 +96,11 @@ def test_merge_is_a_sum():
 def test_highest_keeps_ties():
     pairs, counts = np.array([3, 5, 12, 17, 18]), np.array([2, 2, 1, 7, 3])
     assert alignment.highest(pairs, counts, 10).tolist() == [1, 1, 0, 1, 0]
+
+
+def test_every_character_is_the_library_s():
+    both, library = alignment.TwoTokenizers(*PATHS), Tokenizer.from_file(PATHS[0])
+    texts = [f" a{chr(c)}{chr(c)}b {chr(c)}" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(texts), 1 << 14):
+        part = texts[start : start + (1 << 14)]
+        assert [both.a.encode_ordinary(t) for t in part] == [e.ids for e in library.encode_batch_fast(part, add_special_tokens=False)]
