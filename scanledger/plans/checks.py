@@ -512,6 +512,21 @@ def all_stages_run() -> str:
     base AS (SELECT report_id, report_text AS raw_text FROM reports), {_SHOWN} {_SHOWN_SELECT}"""
 
 
+@check
+def stream_distinct() -> str:
+    key = "CAST(conv_id AS VARCHAR) AS report_id, role || ' ' || turn AS category"
+    return f"""WITH {TURNS} SELECT {key}, CASE WHEN conv_id % 3 <> 0 THEN content ELSE 'again ' || content END AS findings
+    FROM turns WHERE conv_id % 3 <> 0 OR conv_id % 2 = 0"""
+
+
+@check
+def stream_batches() -> str:
+    refused = "question = 'Is there a fracture?' AND report_text LIKE '%No fracture%'"
+    return f"""WITH {REPORTS}, {_catalog()}, every AS (SELECT report_id, category, question_id, {refused} AS refused FROM reports CROSS JOIN asked)
+    SELECT report_id, category, question_id, CASE WHEN refused THEN 'Unsure' ELSE 'Yes' END AS answer, 'stored' AS kind FROM every
+    UNION ALL SELECT report_id, category, question_id, '', 'rejected' FROM every WHERE refused"""
+
+
 @check
 def stream_stage() -> str:
     return f"""WITH {REPORTS}, {_catalog()} SELECT report_id, category, question_id, question, 'Yes' AS answer FROM reports CROSS JOIN asked

@@ -6,8 +6,10 @@ Lists and maps are shown as joined text, so a row compares as plain values.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from uuid import uuid4
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ from ..sources.tables import parse_results_documents
 from ..streaming import incremental
 from . import derived
 from .completion import complete
-from .stages import run_stages
+from .stages import retry_stage, run_stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -734,6 +736,64 @@ def stream_append(spark, sf_dir):
     return store.load(spark, "category_findings")
 
 
+@query
+def stream_distinct(spark, sf_dir):
+    """Stage rows by stateful keys: a replayed file and a late one, after a restart, add only new keys."""
+    folder = _run_folder(spark, "distinct")
+    rows = derived.turns(spark, sf_dir).selectExpr(
+        "CAST(conv_id AS STRING) AS report_id", "role || ' ' || turn AS category", "content AS findings"
+    )
+    early = rows.filter(f"{_ID} % 3 <> 0")
+    late = rows.filter(f"{_ID} % 2 = 0").withColumn("findings", F.concat(F.lit("again "), "findings"))
+    schema = "report_id STRING, category STRING, findings STRING"
+    for arrival in ([early], [early, late]):
+        for part in arrival:
+            part.write.mode("append").parquet(f"{folder}/in")
+        arriving = incremental.stream_table(spark, f"{folder}/in", schema)
+        incremental.distinct_stream(arriving, "category_findings", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(schema).parquet(f"{folder}/out")
+
+
+@dataclass(frozen=True)
+class _BreaksOnce(StageStore):
+    """A store whose third append fails, as if the driver were lost in the middle of a batch."""
+
+    calls: list[str] = field(default_factory=list)
+
+    def append(self, stage: str, rows: DataFrame) -> None:
+        self.calls.append(stage)
+        if len(self.calls) == 3:
+            raise RuntimeError("lost in the middle of a batch")
+        super().append(stage, rows)
+
+
+def later_answers() -> Callable[[Sequence[str]], list[str]]:
+    """Answers to what was asked before without use."""
+    return lambda prompts: ["Unsure"] * len(prompts)
+
+
+@query
+def stream_batches(spark, sf_dir):
+    """Four batches of a stage, one of which breaks off and is repeated; then what was rejected is asked again."""
+    folder = _run_folder(spark, "batches")
+    store = _BreaksOnce(f"{folder}/store", buckets=16)
+    reports = derived.reports(spark, sf_dir)
+    for part in range(4):
+        reports.filter(f"pmod(xxhash64(report_id), 4) = {part}").write.mode("append").parquet(f"{folder}/in")
+        for _ in range(2):
+            arriving = incremental.stream_table(spark, f"{folder}/in", "report_id STRING, report_text STRING")
+            running = incremental.stage_stream(arriving, "questions", store, echo_stage(), f"{folder}/checkpoint", derived.catalog())
+            try:
+                running.awaitTermination()
+            except StreamingQueryException:
+                continue
+            break
+    retry_stage(spark, "questions", spark.read.parquet(f"{folder}/in"), store, later_answers(), derived.catalog())
+    stored = store.load(spark, "questions").select("report_id", "category", "question_id", "answer", F.lit("stored").alias("kind"))
+    refused = store.rejected(spark, "questions").select("report_id", "category", "question_id", F.col("content").alias("answer"), F.lit("rejected").alias("kind"))
+    return stored.unionByName(refused)
+
+
 @query
 def stream_stage(spark, sf_dir):
     """A stage answered for a stream of reports; failed answers stay open."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.fixed_values import STAGE_ORDER
 from ..operators.combine import combine_stages
 from ..operators.requests import build_requests
-from ..operators.responses import to_stage_rows
+from ..operators.responses import split_valid, to_stage_rows
 from ..sources.catalog import Catalog
 from ..sources.store import StageStore
 from .completion import Responder, complete
@@ -51,21 +51,38 @@ def answer_stage(
     catalog: Catalog | None = None,
     templates: Mapping[str, str] | None = None,
     run: str | None = None,
-    small_batch: bool = False,
 ) -> None:
-    """Answer what a stage table still lacks and append the valid answers.
+    """Answer what a stage table still lacks, append the valid answers and keep the rejected ones apart.
 
-    ``small_batch`` says that ``inputs`` are few beside what is stored.
-
-    Answers are written down before they are used, so the responder is asked
-    once per request even when executors are lost afterwards.  Rejected answers
-    stay in that folder, and their keys come back on the next run.
+    Of the stored rows only the buckets of ``inputs`` are read.  Answers are
+    written down before they are used, so the responder is asked once per
+    request even when executors are lost afterwards.  A ``run`` that is repeated
+    replaces its own answers and rejections; the keys of rejected answers come
+    back on the next run.
     """
-    done = store.finished(spark, stage, inputs) if small_batch else store.load(spark, stage)
-    requests = build_requests(stage, inputs, catalog, done, templates)
-    folder = f"{store.path}/answers/{stage}/{run or uuid4().hex}"
+    run = run or uuid4().hex
+    requests = build_requests(stage, inputs, catalog, store.near(spark, stage, inputs), templates)
+    folder = f"{store.path}/answers/{stage}/{run}"
     complete(requests, responder).write.mode("overwrite").parquet(folder)
-    store.append(stage, to_stage_rows(spark.read.parquet(folder), stage))
+    answered = spark.read.parquet(folder)
+    store.reject(stage, split_valid(answered, stage)[1], run)
+    store.append(stage, to_stage_rows(answered, stage))
+
+
+def retry_stage(
+    spark: SparkSession,
+    stage: str,
+    inputs: DataFrame,
+    store: StageStore,
+    responder: Responder,
+    catalog: Catalog | None = None,
+    templates: Mapping[str, str] | None = None,
+) -> None:
+    """Ask again for the reports of ``inputs`` that have a rejected answer and no valid one since."""
+    left = store.still_open(spark, stage)
+    if left is not None:
+        again = inputs.join(left.select("report_id").distinct(), "report_id", "left_semi")
+        answer_stage(spark, stage, again, store, responder, catalog, templates)
 
 
 def run_stages(

@@ -7,11 +7,13 @@ that is replayed after a failure adds nothing twice.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.fixed_values import STAGE_COLUMNS, STAGE_KEYS
 from ..operators.labels import Rule, label_concepts
 from ..plans.completion import Responder
 from ..plans.stages import answer_stage
@@ -22,14 +24,15 @@ from ..sources.store import StageStore
 def stream_table(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
     """The Parquet files of a table, a folder or a single file, as a stream.
 
-    The last letter is written as a class so that the path is a pattern, which
-    a stream needs to accept a single file.
+    The last part of the path is written as a pattern of one alternative, which
+    a stream needs to accept a single file; its own marks are escaped.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    path = path.rstrip("/")
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    escaped = re.sub(r"([\\*?\[\]{}^,])", r"\\\1", name)
+    return reader.parquet(f"{folder}/{{{escaped}}}")
 
 
 def label_stream(
@@ -47,6 +50,26 @@ def label_stream(
     )
 
 
+def distinct_stream(rows: DataFrame, stage: str, path: str, checkpoint: str, event_time: str | None = None, delay: str | None = None) -> StreamingQuery:
+    """Write arriving stage rows with each key once, from state instead of what is written.
+
+    The keys seen so far live in the state store beside ``checkpoint`` and
+    outlive restarts, and the file sink commits a batch once, so a file that is
+    replayed or late adds nothing.  No stored row is ever read.  Of rows of one
+    key in one micro-batch any one stays; a later one never replaces it.
+
+    State holds every key, unless ``event_time`` and ``delay`` bound how late a
+    repeated key may come.
+    """
+    columns, keys = STAGE_COLUMNS[stage], list(STAGE_KEYS[stage])
+    if event_time and delay:
+        unique = rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    else:
+        unique = rows.select(*columns).dropDuplicates(keys)
+    writer = unique.select(*columns).writeStream.format("parquet").outputMode("append").option("path", path)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def append_stream(rows: DataFrame, stage: str, store: StageStore, checkpoint: str) -> StreamingQuery:
     """Append arriving stage rows, each key once."""
 
@@ -67,14 +90,14 @@ def stage_stream(
 ) -> StreamingQuery:
     """Answer a stage for arriving inputs, micro-batch by micro-batch.
 
-    Each batch is saved before the next starts.  Requests the responder failed
-    on are not stored, so a later run asks them again.
+    Each batch is saved before the next starts: valid answers in the stage
+    table, rejected ones beside it under the batch's own name.  A batch that
+    broke off is answered again after a restart from ``checkpoint`` and adds
+    nothing twice; ``retry_stage`` asks again for what was rejected.
     """
     run = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def answer(batch: DataFrame, number: int) -> None:
-        answer_stage(
-            batch.sparkSession, stage, batch, store, responder, catalog, templates, f"{run}-{number}", small_batch=True
-        )
+        answer_stage(batch.sparkSession, stage, batch, store, responder, catalog, templates, f"{run}-{number}")
 
     return inputs.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
