@@ -24,13 +24,20 @@ def yes_no(answer: Column) -> Column:
     )
 
 
-def qc_answer(answer: Column, is_number: Column | None = None) -> Column:
-    """1 or 0 for a whole answer of yes or no; numbers count by their sign; else null."""
+def qc_answer(answer: Column) -> Column:
+    """1 or 0 for a whole answer of yes or no, else null."""
     word = _cell(answer)
-    parsed = F.when(word.isin(*fixed.QC_YES), 1).when(word.isin(*fixed.QC_NO), 0)
-    if is_number is not None:
-        parsed = F.when(is_number, (answer.try_cast("double") > 0).cast("int")).otherwise(parsed)
-    return parsed.cast("int")
+    return F.when(word.isin(*fixed.QC_YES), 1).when(word.isin(*fixed.QC_NO), 0).cast("int")
+
+
+def qc_value(answer: Column) -> Column:
+    """``qc_answer`` for a JSON value: text is read as such, numbers and truth values by their sign, others are null."""
+    kind = F.schema_of_variant(answer)
+    number = F.when(F.try_variant_get(answer, "$", "double") > 0, 1).otherwise(0)
+    truth = F.try_variant_get(answer, "$", "boolean").cast("int")
+    text = qc_answer(F.try_variant_get(answer, "$", "string"))
+    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    return F.when(kind == "STRING", text).when(kind == "BOOLEAN", truth).when(numeric, number).cast("int")
 
 
 def is_blank_cell(value: Column) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.answers import all_numbers, annotation, is_blank_cell, percent, question_key, yes_no
@@ -268,21 +268,43 @@ def coverage_metrics(cases: DataFrame, concepts: Sequence[str]) -> DataFrame:
     )
 
 
-def coverage_overall(metrics: DataFrame, cases: DataFrame) -> DataFrame:
+def _added_up(cases: DataFrame) -> DataFrame:
+    """Per concept: its counts, and how many different cases there are, all and labelled ones.
+
+    Case rows are first added up per case and concept.  Joined cases lie by case
+    already, so that moves nothing, and a case that is repeated without bound is
+    one row per concept afterwards.  From then on counting rows is counting
+    cases: one pass gives concepts and totals.
+    """
+    gt, pred = F.col("gt"), F.col("pred")
+    labeled = F.exists("pairs", lambda p: p["gt"].isNotNull()).alias("__labeled")
+    per_case = cases.select("case_id", labeled, F.inline("pairs")).groupBy("case_id", "concept").agg(
+        F.count(gt).alias("n_labeled"),
+        F.count_if(gt.isNotNull() & pred.isNotNull()).alias("n_eval"),
+        *_counts(gt, pred),
+        F.max("__labeled").alias("__labeled"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("n_labeled", "n_eval", "tp", "fp", "tn", "fn")]
+    return per_case.groupBy("concept").agg(
+        *sums, F.count(F.lit(1)).alias("n_cases"), F.count_if("__labeled").alias("n_labeled_cases")
+    )
+
+
+def coverage_overall(cases: DataFrame) -> DataFrame:
     """total_labeled, total_predicted_yesno, coverage, accuracy, cases_with_predictions."""
-    totals = metrics.agg(
+    totals = _added_up(cases).agg(
         F.sum("n_labeled").alias("total_labeled"),
-        F.sum("n_predicted_yesno").alias("total_predicted_yesno"),
+        F.sum("n_eval").alias("total_predicted_yesno"),
         F.sum(F.col("tp") + F.col("tn")).alias("n_correct"),
+        F.coalesce(F.max("n_labeled_cases"), F.lit(0)).alias("cases_with_predictions"),
     )
     n = F.col("total_labeled")
-    labelled = case_accuracy(cases).agg(F.count(F.lit(1)).alias("n")).scalar()
     return totals.select(
         "total_labeled",
         "total_predicted_yesno",
         share(F.col("total_predicted_yesno"), n, NAN).alias("coverage"),
         share(F.col("n_correct"), n, NAN).alias("accuracy"),
-        labelled.alias("cases_with_predictions"),
+        "cases_with_predictions",
     )
 
 
@@ -319,12 +341,15 @@ def _evaluable_ratios(counted: DataFrame) -> DataFrame:
     )
 
 
-def evaluable_overall(metrics: DataFrame, cases: DataFrame) -> DataFrame:
+def evaluable_overall(cases: DataFrame) -> DataFrame:
     """Ratios of the summed counts, and how many cases were matched."""
-    sums = [F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")]
-    totals = _evaluable_ratios(metrics.agg(F.sum("n_eval").alias("total_eval"), *sums))
-    matched = cases.agg(F.countDistinct("case_id").alias("n")).scalar()
-    return totals.withColumn("matched_cases", matched)
+    totals = _added_up(cases).agg(
+        F.sum("n_eval").alias("total_eval"),
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")],
+        F.coalesce(F.max("n_cases"), F.lit(0)).alias("matched_cases"),
+    )
+    ratios = _evaluable_ratios(totals)
+    return ratios.select(*[c for c in ratios.columns if c != "matched_cases"], "matched_cases")
 
 
 def worst_first(metrics: DataFrame, support: str) -> DataFrame:
@@ -343,3 +368,31 @@ def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     """Keys of ``left`` that ``right`` lacks, each once."""
     keys = list(keys)
     return left.select(*keys).distinct().join(right.select(*keys).distinct(), keys, "left_anti")
+
+
+def drift(catalog: DataFrame, mapping: DataFrame, labelled: DataFrame) -> DataFrame:
+    """kind, name: what a catalog (question), a mapping (concept, question) and label columns (concept) lack of each other.
+
+    ``question not in catalog`` and ``question not mapped`` hold questions of the
+    mapping and of the catalog, ``concept not mapped`` and ``concept without
+    labels`` label columns and mapped concepts; each once.
+    """
+    parts = {
+        "question not in catalog": unmatched(mapping, catalog, ["question"]),
+        "question not mapped": unmatched(catalog, mapping, ["question"]),
+        "concept not mapped": unmatched(labelled, mapping, ["concept"]),
+        "concept without labels": unmatched(mapping, labelled, ["concept"]),
+    }
+    shown = [found.toDF("name").select(F.lit(kind).alias("kind"), "name") for kind, found in parts.items()]
+    return reduce(DataFrame.unionByName, shown)
+
+
+def label_columns(table: DataFrame, id_col: str = "case_id") -> DataFrame:
+    """concept: the columns of a wide label table, as rows."""
+    names = [(c,) for c in table.columns if c != id_col]
+    return table.sparkSession.createDataFrame(names, "concept string")
+
+
+def question_mapping(spark: SparkSession, questions: Mapping[str, str] | None = None) -> DataFrame:
+    """concept, question: a mapping as rows; the built-in one without an argument."""
+    return spark.createDataFrame(list((questions or CONCEPT_QUESTIONS).items()), "concept string, question string")

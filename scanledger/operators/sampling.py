@@ -14,11 +14,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.answers import qc_answer
+from ..functions.answers import qc_answer, qc_value
 from ..functions.fixed_values import NO_RELEVANT_FINDINGS
+from ..session import written
 
-_KEY, _BIN, _N, _BEFORE, _QUOTA, _CUT = "__key", "__bin", "__n", "__before", "__quota", "__cut"
-BIN_DIGITS = 3  # 4096 pieces: the last one ranked holds 1/4096 of a stratum on average
+_KEY, _BIN, _FINE, _N, _BEFORE, _QUOTA, _CUT = "__key", "__bin", "__fine", "__n", "__before", "__quota", "__cut"
+#: 4096 pieces of the order, and as many of each of those.
+BIN_DIGITS, FINE_DIGITS = 3, 6
 
 
 def order_key(seed: int, *ids: Column) -> Column:
@@ -30,11 +32,16 @@ def _keyed(df: DataFrame, seed: int, ids: Sequence[str]) -> DataFrame:
     return keyed.withColumn(_BIN, F.left(F.col(_KEY), F.lit(BIN_DIGITS)))
 
 
-def _histogram(keyed: DataFrame, strata: Sequence[str]) -> DataFrame:
-    """Rows per stratum and bin, and the rows of the stratum in lower bins."""
-    lower = Window.partitionBy(*strata).orderBy(_BIN).rowsBetween(Window.unboundedPreceding, -1)
-    counts = keyed.groupBy(*strata, _BIN).agg(F.count(F.lit(1)).alias(_N))
-    return counts.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(lower), F.lit(0)))
+def _histogram(keyed: DataFrame, strata: Sequence[str], piece: str = _BIN) -> DataFrame:
+    """Rows per stratum and piece, and the rows of the stratum in lower pieces; computed once."""
+    lower = Window.partitionBy(*strata).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*strata, piece).agg(F.count(F.lit(1)).alias(_N))
+    return written(counts.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(lower), F.lit(0))), "histogram")
+
+
+def _divided(rows: DataFrame) -> DataFrame:
+    """The rows near a cut, written down with the finer piece each lies in."""
+    return written(rows.withColumn(_FINE, F.left(F.col(_KEY), F.lit(FINE_DIGITS))), "near")
 
 
 def take_lowest(
@@ -51,18 +58,24 @@ def take_lowest(
     values, such as the categories of a catalog: one row of each is broadcast.
     """
     keyed, strata = _keyed(df, seed, ids), list(strata)
+    if not strata:
+        # Each task keeps its lowest n, and these meet.
+        return keyed.orderBy(_KEY, *ids).limit(int(n)).select(*df.columns)
     histogram = _histogram(keyed, strata)
     histogram = n(histogram) if callable(n) else histogram.withColumn(_QUOTA, F.lit(int(n)))
     reached = histogram.filter(F.col(_BEFORE) < F.col(_QUOTA))
-    if not strata:
-        near = keyed.filter(F.col(_BIN) <= reached.agg(F.max(_BIN)).scalar())
-        return near.orderBy(_KEY, *ids).limit(int(n)).select(*df.columns)
-    cut = reached.groupBy(*strata).agg(F.max(_BIN).alias(_CUT), F.max(_QUOTA).alias(_QUOTA))
+    cut = reached.groupBy(*strata).agg(
+        F.max(_BIN).alias(_CUT), F.max(_QUOTA).alias(_QUOTA), F.max_by(_BEFORE, F.col(_BIN)).alias(_BEFORE)
+    )
     # One row per stratum.  Strata are categories of a catalog, a few hundred: the
     # pieces are filtered where they lie, before anything is dealt by stratum.
-    near = keyed.join(F.broadcast(cut), strata).filter(F.col(_BIN) <= F.col(_CUT))
+    near = _divided(keyed.join(F.broadcast(cut), strata).filter(F.col(_BIN) <= F.col(_CUT)))
+    last = near.filter(F.col(_BIN) == F.col(_CUT))
+    fine = _histogram(last, strata, _FINE).withColumnRenamed(_BEFORE, "__within").join(F.broadcast(cut), strata)
+    fine = fine.filter(F.col(_BEFORE) + F.col("__within") < F.col(_QUOTA)).groupBy(*strata).agg(F.max(_FINE).alias("__fine_cut"))
+    left = near.join(F.broadcast(fine), strata).filter(F.col(_FINE) <= F.col("__fine_cut"))
     rank = F.row_number().over(Window.partitionBy(*strata).orderBy(_KEY, *ids))
-    return near.withColumn("__rank", rank).filter(F.col("__rank") <= F.col(_QUOTA)).select(*df.columns)
+    return left.withColumn("__rank", rank).filter(F.col("__rank") <= F.col(_QUOTA)).select(*df.columns)
 
 
 def sample_reports(reports: DataFrame, n: int, seed: int = 42) -> DataFrame:
@@ -137,11 +150,17 @@ def qc_categories(results: DataFrame, budget: int = 10, seed: int = 42) -> DataF
 
 
 def question_examples(results: DataFrame) -> DataFrame:
-    """report_id, category, question, label for every answer that is a yes or a no."""
-    per_category = results.select("report_id", F.explode("qa_results").alias("category", "answers"))
+    """report_id, category, question, label for every answer that is a yes or a no.
+
+    Answers are text, or JSON values as results documents give them
+    (``typed_answers``): then numbers count by their sign, too.
+    """
+    typed = "typed_answers" in results.columns
+    per_category = results.select("report_id", F.explode("typed_answers" if typed else "qa_results").alias("category", "answers"))
     per_answer = per_category.select("report_id", "category", F.posexplode("answers").alias("ord", "qa"))
     answers = per_answer.select("report_id", "category", "ord", F.explode("qa").alias("question", "answer"))
-    return answers.withColumn("label", qc_answer(F.col("answer"))).filter(F.col("label").isNotNull()).drop("answer")
+    label = qc_value(F.col("answer")) if typed else qc_answer(F.col("answer"))
+    return answers.withColumn("label", label).drop("answer").filter(F.col("label").isNotNull())
 
 
 def _draw(seed: int, kind: str, size: Column) -> Column:
@@ -155,8 +174,10 @@ def draw_questions(examples: DataFrame, budget: int = 50, seed: int = 42) -> Dat
 
     Half the draws are positive (the rest negative); a draw picks one of the
     questions with such examples, then one of its examples, each with equal
-    chance.  An example is found by its rank: the histogram names the bin that
-    holds it, and only rows of such bins are ranked.
+    chance.  An example is found by its rank: the histogram, from which sizes
+    and draws are read as well, names the bin that holds it, a second one the
+    piece of that bin, and only rows of such pieces are ranked.  The examples are
+    read twice, once to count them and once for the rows of the drawn bins.
     """
     spark = examples.sparkSession
     ids, group = ["report_id", "category", "ord"], ["label", "question"]
@@ -177,35 +198,40 @@ def draw_questions(examples: DataFrame, budget: int = 50, seed: int = 42) -> Dat
     draws = draws.join(questions.drop("questions"), ["label", "question_rank"])
     draws = draws.select("draw", *group, _draw(seed, "example", F.col("examples")).alias("target"))
 
-    located = _locate(draws, histogram, group)
-    near = keyed.join(located.select(*group, _BIN).distinct(), [*group, _BIN])
-    rank = F.row_number().over(Window.partitionBy(*group, _BIN).orderBy(_KEY, *ids))
-    ranked = near.withColumn("__rank", rank.cast("long"))
-    return located.join(ranked, [*group, _BIN, "__rank"]).select("draw", *group, "report_id", "category")
+    # A row for each draw, so at most the budget.
+    located, bins = written(_locate(draws, histogram, group, _BIN), "draws"), [*group, _BIN]
+    near = _divided(keyed.join(F.broadcast(located.select(*bins).distinct()), bins))
+    fine = _histogram(near, bins, _FINE)
+    targets = located.select("draw", *bins, (F.col("__rank") - 1).alias("target"))
+    located, pieces = _locate(targets, fine, bins, _FINE), [*bins, _FINE]
+    drawn = near.join(F.broadcast(located.select(*pieces).distinct()), pieces)
+    rank = F.row_number().over(Window.partitionBy(*pieces).orderBy(_KEY, *ids))
+    ranked = drawn.withColumn("__rank", rank.cast("long"))
+    return located.join(ranked, [*pieces, "__rank"]).select("draw", *group, "report_id", "category")
 
 
-def _locate(draws: DataFrame, histogram: DataFrame, group: Sequence[str]) -> DataFrame:
-    """The bin that holds each draw's target, and the rank inside the bin.
+def _locate(draws: DataFrame, histogram: DataFrame, group: Sequence[str], piece: str) -> DataFrame:
+    """The piece that holds each draw's target, and the rank inside it.
 
     Bins and targets are put in one order and each target takes the bin before
     it: as many rows as bins and draws, no pairs of them.
     """
     marks = histogram.select(
-        *group, F.col(_BEFORE).alias("at"), F.lit(0).alias("kind"), F.col(_BIN), F.lit(None).cast("long").alias("draw")
+        *group, F.col(_BEFORE).alias("at"), F.lit(0).alias("kind"), F.col(piece), F.lit(None).cast("long").alias("draw")
     )
     targets = draws.select(
-        *group, F.col("target").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias(_BIN), "draw"
+        *group, F.col("target").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias(piece), "draw"
     )
     before = Window.partitionBy(*group).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = marks.unionByName(targets).select(
         *group,
         "draw",
         "at",
-        F.last(_BIN, ignorenulls=True).over(before).alias(_BIN),
+        F.last(piece, ignorenulls=True).over(before).alias(piece),
         F.last(F.when(F.col("kind") == 0, F.col("at")), ignorenulls=True).over(before).alias("start"),
     )
     drawn = placed.filter(F.col("draw").isNotNull())
-    return drawn.select("draw", *group, _BIN, (F.col("at") - F.col("start") + 1).alias("__rank"))
+    return drawn.select("draw", *group, piece, (F.col("at") - F.col("start") + 1).alias("__rank"))
 
 
 def qc_questions(results: DataFrame, budget: int = 50, seed: int = 42) -> DataFrame:

@@ -479,11 +479,14 @@ def final_results() -> str:
 
 @check
 def final_results_without_reports() -> str:
-    ids = " UNION ".join(
-        f"SELECT report_id FROM {t}" for t in ("no_comparisons_kept", "findings", "category_findings", "questions")
-    )
-    return f"""WITH {STORED}, no_comparisons_kept AS (SELECT * FROM no_comparisons WHERE CAST(report_id AS BIGINT) % 3 = 0),
-    base AS (SELECT report_id, '' AS raw_text FROM ({ids})), {_SHOWN} {_SHOWN_SELECT.replace('JOIN no_comparisons ', 'JOIN no_comparisons_kept ')}"""
+    names = ("no_comparisons", "findings", "category_findings", "questions")
+    own = ", ".join(f"own_{n} AS (SELECT * REPLACE (({derived.own_id_sql(i).replace('STRING', 'VARCHAR')}) AS report_id) FROM {n})" for i, n in enumerate(names))
+    ids = " UNION ".join(f"SELECT report_id FROM own_{n}" for n in names)
+    shown, select = _SHOWN, _SHOWN_SELECT
+    for n in names:
+        shown, select = shown.replace(f"FROM {n} ", f"FROM own_{n} "), select.replace(f"JOIN {n} ", f"JOIN own_{n} ")
+    renamed = select.replace("no_comparison_text, ''", "own_no_comparisons.no_comparison_text, ''")
+    return f"WITH {STORED}, {own}, base AS (SELECT report_id, '' AS raw_text FROM ({ids})), {shown.replace('FROM questions GROUP', 'FROM own_questions GROUP')} {renamed}"
 
 
 @check
@@ -610,7 +613,7 @@ def sampled_reports() -> str:
 
 @check
 def sampled_catalog() -> str:
-    return f"""WITH asked AS (SELECT DISTINCT 'topic ' || conv_id % 9 AS category, text AS question FROM conversations WHERE role = 'user'),
+    return f"""WITH asked AS (SELECT DISTINCT 'topic ' || conv_id % 9 AS category, text AS question FROM conversations),
     chosen AS (SELECT category FROM (SELECT DISTINCT category FROM asked) ORDER BY {order_key('category')} LIMIT 4)
     SELECT category, question FROM asked WHERE category IN (SELECT category FROM chosen)
     QUALIFY row_number() OVER (PARTITION BY category ORDER BY {order_key('category', 'question')}) <= 10"""
@@ -786,7 +789,7 @@ def imperfect_by_type() -> str:
     return f"WITH {_tasks()} SELECT qc_type, count(*) AS n FROM zeroed WHERE accuracy < 1.0 GROUP BY qc_type"
 
 
-TRUTH = """truth AS (SELECT CAST(doc_id AS VARCHAR) AS case_id, CAST(quality AS VARCHAR) AS fracture,
+TRUTH = """truth AS (SELECT CASE WHEN doc_id % 8 = 7 THEN 'gone ' ELSE '' END || doc_id AS case_id, CAST(quality AS VARCHAR) AS fracture,
         CASE WHEN doc_id % 6 = 5 THEN 'unknown' ELSE CAST(toxic AS VARCHAR) END AS renal_cyst,
         CASE WHEN doc_id % 4 = 3 THEN '-1' ELSE CAST(1 - quality AS VARCHAR) END AS pleural_effusion,
         CASE WHEN doc_id % 5 = 0 THEN '1.0' WHEN doc_id % 5 = 1 THEN '0' END AS osteopenia, '2' AS ascites FROM main.labels),
@@ -805,7 +808,7 @@ def _answered() -> str:
     return f"""{STORED}, {TRUTH.replace('main.labels', 'labels')}, mapping(concept, question) AS (VALUES {asked}),
     last_answers AS (SELECT report_id, question, arg_max(answer, category) AS answer FROM questions GROUP BY report_id, question),
     pairs AS (SELECT t.case_id, t.concept, t.gt, {yes_no('a.answer')} AS pred FROM truth_read t JOIN mapping USING (concept)
-        JOIN (SELECT report_id FROM reports WHERE CAST(report_id AS BIGINT) % 8 <> 7) r ON r.report_id = t.case_id
+        JOIN (SELECT report_id FROM reports) r ON r.report_id = t.case_id
         LEFT JOIN last_answers a ON a.report_id = t.case_id AND a.question = mapping.question)"""
 
 
@@ -852,7 +855,7 @@ def _predicted() -> str:
     body = _labels().replace("labels AS MATERIALIZED", "concept_labels AS MATERIALIZED")
     return f"""ground AS (SELECT * FROM labels), {truth}, {body},
     pairs AS (SELECT t.case_id, t.concept, t.gt, CASE WHEN l.label IN (0, 1) THEN l.label END AS pred FROM truth_read t
-        JOIN concept_labels l ON l.report_id = t.case_id AND l.concept = t.concept WHERE CAST(t.case_id AS BIGINT) % 8 <> 7),
+        JOIN concept_labels l ON l.report_id = t.case_id AND l.concept = t.concept),
     evaluable AS (SELECT *, {_ratio('tp', 'tp + fp')} AS precision_ppv, {_ratio('tp', 'tp + fn')} AS recall_sensitivity,
         {_ratio('2 * tp', '2 * tp + fp + fn')} AS f1, {_ratio('tp + tn', 'tp + tn + fp + fn')} AS accuracy FROM
         (SELECT concept AS disease, count(*) AS n_eval, {_COUNTS} FROM pairs WHERE gt IS NOT NULL AND pred IS NOT NULL GROUP BY concept))"""
@@ -873,8 +876,25 @@ def evaluable_overall() -> str:
 
 @check
 def catalog_drift() -> str:
-    return """SELECT DISTINCT text AS question FROM conversations WHERE role = 'user'
-    AND text NOT IN (SELECT text FROM conversations WHERE conv_id % 3 <> 0)"""
+    return """WITH said AS (SELECT role || ' ' || conv_id AS concept, conv_id, text FROM conversations),
+    asked AS (SELECT CASE WHEN conv_id % 5 = 0 THEN 'new: ' ELSE '' END || text AS question FROM said),
+    mapped AS (SELECT CASE WHEN conv_id % 7 = 0 THEN 'old ' ELSE '' END || concept AS concept, text AS question FROM said),
+    labelled AS (SELECT CASE WHEN conv_id % 11 = 0 THEN 'extra ' ELSE '' END || concept AS concept FROM said)
+    SELECT 'question not in catalog' AS kind, question AS name FROM (SELECT question FROM mapped EXCEPT SELECT question FROM asked)
+    UNION ALL SELECT 'question not mapped', question FROM (SELECT question FROM asked EXCEPT SELECT question FROM mapped)
+    UNION ALL SELECT 'concept not mapped', concept FROM (SELECT concept FROM labelled EXCEPT SELECT concept FROM mapped)
+    UNION ALL SELECT 'concept without labels', concept FROM (SELECT concept FROM mapped EXCEPT SELECT concept FROM labelled)"""
+
+
+@check
+def qc_typed_answers() -> str:
+    labels = {"2": 1, "0.0": 0, "-3": 0, "0": 0, "1e-3": 1, "true": 1, "false": 0, '"yes"': 1, '" No "': 0, '"0"': 0}
+    first = " ".join(f"WHEN {i} THEN {labels[v]}" for i, v in enumerate(queries.TYPED_VALUES) if v in labels)
+    number = "CAST(report_id AS BIGINT)"
+    return f"""WITH {REPORTS}, every AS (SELECT report_id, 'A' AS category, 0 AS ord, 'first' AS question, CASE {number} % 15 {first} END AS label FROM reports
+    UNION ALL SELECT report_id, 'A', 1, 'second', CASE {number} % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END FROM reports
+    UNION ALL SELECT report_id, 'B', 0, 'first', CASE {number} % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END FROM reports)
+    SELECT * FROM every WHERE label IS NOT NULL"""
 
 
 # --- sources -----------------------------------------------------------------------------------------

@@ -18,10 +18,11 @@ from ..functions.completions import completion_or_reasoning, completion_text
 from ..functions.fixed_values import CONCEPT_QUESTIONS, EVIDENCE_SEPARATOR
 from ..functions.text import eligible_text, sentences
 from ..operators import combine, enforce, labels, metrics, requests, responses, sampling
+from ..operators.lexicon import default_lexicon
 from ..session import shared_folder
 from ..sources.reports import last_wins, parse_json_reports
 from ..sources.store import StageStore
-from ..sources.tables import parse_results_documents
+from ..sources.tables import parse_results_documents, parse_typed_answers
 from ..streaming import incremental
 from . import derived
 from .completion import complete
@@ -102,14 +103,25 @@ def concept_counts(spark, sf_dir):
     )
 
 
+def _rules(*names: str) -> tuple[labels.Rule, ...]:
+    """The rules of some concepts, and of those whose labels bear on them."""
+    wanted = {*names, *({"renal_cyst", "renal_hypodensities"} if {"renal_cyst", "renal_hypodensities"} & set(names) else ())}
+    return tuple(r for r in default_lexicon() if r.name in wanted)
+
+
+def _labels_of(spark, sf_dir, *names: str) -> DataFrame:
+    found = labels.label_concepts(derived.reports(spark, sf_dir), _rules(*names))
+    return found.filter(F.col("concept").isin(*names)).select("report_id", "concept", "label", _joined())
+
+
 @query
 def renal_gates(spark, sf_dir):
-    return concept_labels(spark, sf_dir).filter(F.col("concept").isin("renal_cyst", "renal_hypodensities"))
+    return _labels_of(spark, sf_dir, "renal_cyst", "renal_hypodensities")
 
 
 @query
 def hydronephrosis_special(spark, sf_dir):
-    return concept_labels(spark, sf_dir).filter(F.col("concept") == "hydronephrosis")
+    return _labels_of(spark, sf_dir, "hydronephrosis")
 
 
 # --- prompts and requests --------------------------------------------------------------
@@ -352,8 +364,10 @@ def final_results(spark, sf_dir):
 
 @query
 def final_results_without_reports(spark, sf_dir):
+    """Stage tables that hold ids no other has: the reports are the union of all ids."""
     tables = derived.stage_tables(derived.reports(spark, sf_dir))
-    tables["no_comparisons"] = tables["no_comparisons"].filter("CAST(report_id AS BIGINT) % 3 = 0")
+    for place, (name, table) in enumerate(tables.items()):
+        tables[name] = table.withColumn("report_id", F.expr(derived.own_id_sql(place)))
     return _shown(combine.combine_stages(None, **tables))
 
 
@@ -478,8 +492,7 @@ def sampled_reports(spark, sf_dir):
 @query
 def sampled_catalog(spark, sf_dir):
     """A catalog taken from the conversations, cut to some categories and questions."""
-    questions = derived.table(spark, sf_dir, "conversations").filter("role = 'user'")
-    questions = questions.selectExpr("'topic ' || conv_id % 9 AS category", "text AS question").distinct()
+    questions = derived.table(spark, sf_dir, "conversations").selectExpr("'topic ' || conv_id % 9 AS category", "text AS question").distinct()
     return sampling.sample_questions(questions, 4, 10, seed=42)
 
 
@@ -498,6 +511,24 @@ def qc_questions(spark, sf_dir):
     return sampling.qc_questions(_stored_results(spark, sf_dir), 50, seed=42)
 
 
+@query
+def qc_typed_answers(spark, sf_dir):
+    """Answers that are numbers, truth values and text in results documents, as yes and no."""
+    documents = derived.reports(spark, sf_dir).selectExpr("report_id AS path", f"{TYPED_DOCUMENT_SQL} AS value")
+    return sampling.question_examples(parse_typed_answers(documents))
+
+
+# One results document per report, with an answer of each JSON kind.
+TYPED_VALUES = ("2", "0.0", "-3", "0", "1e-3", "true", "false", "null", '"yes"', '"2"', '" No "', '"0"', '"maybe"', "[1]", '{"a": 1}')
+TYPED_DOCUMENT_SQL = derived._json(
+    "{'<n>': {'raw_text': <t>, 'qa_results': {'A': [{'first': <v>}, {'second': <w>}], 'B': [{'first': <w>}]}}}",
+    n="report_id",
+    t=derived.json_text_sql("report_text"),
+    v="CASE CAST(report_id AS BIGINT) % 15 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(TYPED_VALUES)) + " END",
+    w="CASE CAST(report_id AS BIGINT) % 3 WHEN 0 THEN '2' WHEN 1 THEN '0.0' ELSE '\"2\"' END",
+)
+
+
 @query
 def qc_statistics(spark, sf_dir):
     results = _stored_results(spark, sf_dir)
@@ -581,9 +612,9 @@ def imperfect_by_type(spark, sf_dir):
 
 
 def _ground_truth(spark, sf_dir):
-    """A wide label table: 0, 1 and other values."""
+    """A wide label table: 0, 1 and other values, some under ids that no report has."""
     return derived.table(spark, sf_dir, "labels").selectExpr(
-        "CAST(doc_id AS STRING) AS case_id",
+        "CASE WHEN doc_id % 8 = 7 THEN 'gone ' ELSE '' END || doc_id AS case_id",
         "CAST(quality AS STRING) AS fracture",
         "CASE WHEN doc_id % 6 = 5 THEN 'unknown' ELSE CAST(toxic AS STRING) END AS renal_cyst",
         "CASE WHEN doc_id % 4 = 3 THEN '-1' ELSE CAST(1 - quality AS STRING) END AS pleural_effusion",
@@ -596,15 +627,12 @@ TRUTH = ("fracture", "renal_cyst", "pleural_effusion", "osteopenia", "ascites")
 
 
 def _answered_cases(spark, sf_dir):
-    return metrics.answered_cases(
-        _ground_truth(spark, sf_dir),
-        derived.results(spark, sf_dir).filter(f"{_ID} % 8 <> 7"),
-        TRUTH,
-    )
+    return metrics.answered_cases(_ground_truth(spark, sf_dir), derived.results(spark, sf_dir), TRUTH)
 
 
 def _predicted_cases(spark, sf_dir):
-    predictions = concept_labels_wide(spark, sf_dir).filter("CAST(report_id AS BIGINT) % 8 <> 7")
+    rules = _rules(*TRUTH)
+    predictions = labels.to_wide(labels.label_results(derived.reports(spark, sf_dir), rules), labels.names_of(rules))
     return metrics.predicted_cases(_ground_truth(spark, sf_dir), predictions, TRUTH)
 
 
@@ -622,7 +650,7 @@ def coverage_metrics(spark, sf_dir):
 @query
 def coverage_overall(spark, sf_dir):
     cases = _answered_cases(spark, sf_dir)
-    return metrics.coverage_overall(metrics.coverage_metrics(cases, TRUTH), cases)
+    return metrics.coverage_overall(cases)
 
 
 @query
@@ -638,15 +666,21 @@ def evaluable_metrics(spark, sf_dir):
 @query
 def evaluable_overall(spark, sf_dir):
     cases = _predicted_cases(spark, sf_dir)
-    return metrics.evaluable_overall(metrics.evaluable_metrics(cases), cases)
+    return metrics.evaluable_overall(cases)
 
 
 @query
 def catalog_drift(spark, sf_dir):
-    """Questions that are mapped but not in the catalog, both taken from the texts."""
-    mapped = derived.table(spark, sf_dir, "conversations").filter("role = 'user'").selectExpr("text AS question")
-    asked = derived.table(spark, sf_dir, "conversations").filter("conv_id % 3 <> 0").selectExpr("text AS question")
-    return metrics.unmatched(mapped, asked, ["question"])
+    """Catalog questions, a mapping of concepts to questions, and label columns held against each other.
+
+    Every conversation is a topic of the catalog that asks its texts; the mapping
+    and the labels come from the same texts, each with some that the others lack.
+    """
+    said = derived.table(spark, sf_dir, "conversations").selectExpr("role || ' ' || conv_id AS concept", "conv_id", "turn", "text")
+    catalog = said.selectExpr("CASE WHEN conv_id % 5 = 0 THEN 'new: ' ELSE '' END || text AS question")
+    mapping = said.selectExpr("CASE WHEN conv_id % 7 = 0 THEN 'old ' ELSE '' END || concept AS concept", "text AS question")
+    labelled = said.selectExpr("CASE WHEN conv_id % 11 = 0 THEN 'extra ' ELSE '' END || concept AS concept")
+    return metrics.drift(catalog, mapping, labelled)
 
 
 # --- sources -----------------------------------------------------------------------------------

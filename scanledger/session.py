@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,13 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scanledger").rstrip("/")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back: it is computed once, and lost executors do not matter."""
+    path = f"{shared_folder(df.sparkSession)}/scanledger/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int | None:
     """The setting ``scanledger.partitions``: pieces to deal reports to, or none to keep those they are read in."""
     named = spark.conf.get("scanledger.partitions", None)

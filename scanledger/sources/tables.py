@@ -56,6 +56,15 @@ def parse_results_documents(documents: DataFrame) -> DataFrame:
     return _with_answers(rows.select("report_id", "r.*"))
 
 
+def parse_typed_answers(documents: DataFrame) -> DataFrame:
+    """report_id, raw_text, typed_answers: the answers as the JSON values they are, so that 2 is not "2"."""
+    kind = "map<string,array<map<string,variant>>>"
+    entries = F.from_json(F.col("value"), f"map<string,struct<raw_text: string, qa_results: {kind}, answers: {kind}>>")
+    rows = documents.select(F.explode(entries).alias("report_id", "r"))
+    answers = F.when(F.size("r.qa_results") > 0, F.col("r.qa_results")).otherwise(F.col("r.answers"))
+    return rows.select("report_id", F.col("r.raw_text").alias("raw_text"), answers.alias("typed_answers"))
+
+
 def _with_answers(results: DataFrame) -> DataFrame:
     """``answers`` stands in for an absent or empty ``qa_results``."""
     filled = F.when(F.size("qa_results") > 0, F.col("qa_results")).otherwise(F.col("answers"))

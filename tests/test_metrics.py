@@ -5,7 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from scanledger.operators import metrics
+from scanledger.plans import queries
 from scanledger.sources import sinks
+from scanledger.sources.catalog import questions_frame, read_catalog
+from scanledger.sources.tables import read_label_table
 from tests.brute import same
 
 NAN = float("nan")
@@ -57,14 +60,14 @@ def test_against_counting(spark):
         assert got[c].n_labeled == len(labeled)
         assert got[c].n_predicted_yesno == sum(r[3] is not None for r in labeled)
         assert same(got[c].accuracy, sum(r[2] == r[3] for r in labeled) / len(labeled))
-    overall = metrics.coverage_overall(metrics.coverage_metrics(cases, ["a", "b", "hot"]), cases).first()
+    overall = metrics.coverage_overall(cases).first()
     every = [r for r in rows if r[2] is not None]
     assert overall.total_labeled == len(every) and same(overall.accuracy, sum(r[2] == r[3] for r in every) / len(every))
     per_case = {r.case_id: r for r in metrics.case_accuracy(cases).collect()}
     assert overall.cases_with_predictions == len(per_case) == len({r[0] for r in every})
     assert per_case["7"].n_correct == sum(r[2] is not None and r[2] == r[3] for r in rows if r[0] == "7")
     both = [r for r in rows if r[2] is not None and r[3] is not None]
-    total = metrics.evaluable_overall(metrics.evaluable_metrics(cases), cases).first()
+    total = metrics.evaluable_overall(cases).first()
     assert total.total_eval == len(both) and same(total.accuracy, sum(r[2] == r[3] for r in both) / len(both))
     assert total.matched_cases == 300
 
@@ -191,3 +194,44 @@ def test_unmatched_keys(spark):
     left = spark.createDataFrame([("a",), ("a",), ("b",)], "q string")
     right = spark.createDataFrame([("b",)], "q string")
     assert [r.q for r in metrics.unmatched(left, right, ["q"]).collect()] == ["a"]
+
+
+def test_repeated_cases_count_once(spark):
+    rows = [("1", "a", 1, 1), ("1", "b", None, 0), ("2", "a", None, 1), ("2", "b", None, None), ("3", "a", 0, 1), ("3", "b", 1, 1)]
+    cases = pairs_frame(spark, rows)
+    twice = cases.unionByName(cases.filter("case_id = '1'")).unionByName(cases.filter("case_id = '1'"))
+    total = metrics.evaluable_overall(twice).first()
+    assert (total.total_eval, total.tp, total.fp, total.matched_cases) == (5, 4, 1, 3)
+    covered = metrics.coverage_overall(twice).first()
+    assert (covered.total_labeled, covered.total_predicted_yesno, covered.cases_with_predictions) == (5, 5, 2)
+    none = metrics.evaluable_overall(cases.filter("false")).first()
+    assert none.matched_cases == 0 and none.total_eval is None and metrics.coverage_overall(cases.filter("false")).first().cases_with_predictions == 0
+
+
+def document_scans(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return sum("Relation" in line and "text#" in line for line in plan.splitlines())
+
+
+def test_totals_read_the_documents_once(spark, sf_dir):
+    assert document_scans(queries._predicted_cases(spark, sf_dir)) == document_scans(queries.evaluable_overall(spark, sf_dir)) == 1
+    assert document_scans(queries._answered_cases(spark, sf_dir)) == document_scans(queries.coverage_overall(spark, sf_dir))
+
+
+def test_drift_of_each_kind(spark, tmp_path):
+    (tmp_path / "c.yaml").write_text(
+        'modality: m\ncategories:\n  A:\n    description: a\n    questions:\n      - question: "Q1?"\n      - question: "Q2?"\n      - question: "Unmapped?"\n'
+    )
+    (tmp_path / "labels.csv").write_text("case_id,one,two,unknown\n1,0,1,1\n")
+    catalog = questions_frame(spark, read_catalog(tmp_path / "c.yaml"))
+    mapping = metrics.question_mapping(spark, {"one": "Q1?", "two": "Q2?", "three": "Q9?"})
+    labelled = metrics.label_columns(read_label_table(spark, str(tmp_path / "labels.csv"))[0])
+    found = {tuple(r) for r in metrics.drift(catalog, mapping, labelled).collect()}
+    assert found == {
+        ("question not in catalog", "Q9?"),
+        ("question not mapped", "Unmapped?"),
+        ("concept not mapped", "unknown"),
+        ("concept without labels", "three"),
+    }
+    assert metrics.drift(catalog.limit(0), mapping.limit(0), labelled.limit(0)).count() == 0
+    assert metrics.question_mapping(spark).count() == len(metrics.CONCEPT_QUESTIONS)

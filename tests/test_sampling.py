@@ -1,9 +1,12 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from scanledger.operators import sampling
 from scanledger.sources import sinks
 from scanledger.sources.catalog import Catalog, Category, sample_catalog
+from scanledger.sources.tables import parse_typed_answers
 from tests.brute import order_key
 
 
@@ -132,3 +135,30 @@ def test_sheets_in_mixed_order(spark):
     assert set(sheets) == {"combined_findings", "categories", "questions"}
     labels = [r.predicted_label for r in sheets["questions"].collect()]
     assert labels != sorted(labels) and labels != sorted(labels, reverse=True)
+
+
+def test_pieces_are_divided_again(spark, monkeypatch):
+    """The same rows whatever the pieces: by one digit, then two, and by those in use."""
+    wide = spark.range(4000).selectExpr("CAST(id AS STRING) AS report_id", "IF(id % 40 = 0, 'rare', 'hot') AS stratum")
+    taken = lambda: sorted(tuple(r) for r in sampling.take_lowest(wide, 150, 9, ["report_id"], ["stratum"]).collect())
+    examples = wide.selectExpr("report_id", "'c' AS category", "0 AS ord", "stratum AS question", "CAST(report_id AS INT) % 2 AS label")
+    drawn = lambda: sorted(tuple(r) for r in sampling.draw_questions(examples, 60, 9).collect())
+    first = taken(), drawn()
+    monkeypatch.setattr(sampling, "BIN_DIGITS", 1)
+    monkeypatch.setattr(sampling, "FINE_DIGITS", 2)
+    assert (taken(), drawn()) == first
+    keys = sorted((hashlib.md5(f"9:{i}".encode()).hexdigest(), str(i)) for i in range(4000) if i % 40)
+    assert {r[0] for r in first[0] if r[1] == "hot"} == {i for _, i in keys[:150]}
+    assert sum(r[1] == "rare" for r in first[0]) == 100 and len(first[1]) == 60
+
+
+def test_typed_answers(spark):
+    documents = spark.createDataFrame(
+        [("p", '{"1": {"raw_text": "a", "qa_results": {"A": [{"Q": 2}, {"R": 0.0}, {"S": "2"}, {"T": true}, {"U": null}]}}, "2": {"raw_text": "b", "answers": {"A": [{"Q": -1}]}}, "3": {"error": "e"}}')],
+        "path string, value string",
+    )
+    typed = parse_typed_answers(documents)
+    found = {(r.report_id, r.question): r.label for r in sampling.question_examples(typed).collect()}
+    assert found == {("1", "Q"): 1, ("1", "R"): 0, ("1", "T"): 1, ("2", "Q"): 0}
+    sheet = sampling.qc_questions(typed, 20, seed=1).collect()
+    assert len(sheet) == 20 and {(r.query_id, r.question, r.predicted_label) for r in sheet} <= {(i, q, n) for (i, q), n in found.items()}

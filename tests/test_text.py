@@ -13,6 +13,7 @@ from scanledger.functions.answers import (
     is_valid_result,
     percent,
     qc_answer,
+    qc_value,
     question_id,
     question_key,
     response_pattern,
@@ -91,7 +92,8 @@ def test_answers(spark):
     assert column(spark, texts, qc_answer) == [a[2] for a in ANSWERS]
     assert column(spark, texts, lambda c: annotation(c, F.lit(False))) == [a[3] for a in ANSWERS]
     assert column(spark, texts, lambda c: annotation(c, F.lit(True))) == [a[4] for a in ANSWERS]
-    assert column(spark, ["2", "-3", "0"], lambda c: qc_answer(c, F.lit(True))) == [1, 0, 0]
+    values = ["2", "-3", "0", "0.0", "1e-3", "true", "false", "null", '"yes"', '"2"', '"0"', "[1]", "{}"]
+    assert column(spark, values, lambda c: qc_value(F.parse_json(c))) == [1, 0, 0, 0, 1, 1, 0, None, 1, None, 0, None, None]
 
 
 def test_names_and_patterns(spark):
