@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECES = rf"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"""
 #: No piece crosses from other characters to white space, so these chunks are cut alone.
 CHUNKS = rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
+#: So few rows are merged one by one.
+FEW = 8
 NO_PAIR = np.iinfo(np.int64).max
 PLACE_BITS = 36
 
@@ -47,6 +50,8 @@ class PairTrees:
         pairs = firsts.astype(np.int64) * n_ids + seconds
         order = np.argsort(pairs, kind="stable")
         self.n_ids, self.pairs, self.ranks, self.results = n_ids, pairs[order], order, results
+        self.rank_of = dict(zip(self.pairs.tolist(), order.tolist(), strict=True))
+        self.result_of = results.tolist()
 
     def leaf(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Rank and place of a pair as one number; right is -1 where there is none."""
@@ -60,6 +65,9 @@ class PairTrees:
         count, size = symbols.shape
         if size < 2 or not len(self.pairs):
             return symbols
+        if count <= FEW:
+            # Few trees are walked one by one; side by side a step costs the same for one as for many.
+            return np.array([self.walk(row) for row in symbols.tolist()], dtype=np.int32)
         # A column behind the end takes the links and leaves of places that do not exist.
         sym = np.full((count, size + 1), -1, dtype=np.int32)
         sym[:, :size] = symbols
@@ -99,10 +107,77 @@ class PairTrees:
                 tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
 
 
+    def walk(self, sym: list[int]) -> list[int]:
+        """``merge`` for one row, on a tree of its own."""
+        size, ranks, results = len(sym), self.rank_of, self.result_of
+        after, before = [*range(1, size), -1], list(range(-1, size - 1))
+        none = int(NO_PAIR)
+
+        def leaf(left: int, right: int) -> int:
+            """Rank and place of the pair of the symbols in two places."""
+            if left < 0 or right < 0 or sym[right] < 0:
+                return none
+            rank = ranks.get(sym[left] * self.n_ids + sym[right])
+            return none if rank is None else rank << PLACE_BITS | left
+
+        tree = [none] * size + [leaf(i, after[i]) if sym[i] >= 0 else none for i in range(size)]
+        for node in range(size - 1, 0, -1):
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+        def put(place: int, value: int) -> None:
+            """Change a leaf, and the nodes above it as far as they change."""
+            node = place + size
+            while tree[node] != value:
+                tree[node] = value
+                if node == 1:
+                    return
+                other = tree[node ^ 1]
+                node >>= 1
+                if other < value:
+                    value = other
+
+        while tree[1] != none:
+            best = tree[1]
+            place = best & ((1 << PLACE_BITS) - 1)
+            second, first = after[place], before[place]
+            third = after[second]
+            sym[place], sym[second] = results[best >> PLACE_BITS], -1
+            after[place] = third
+            if third >= 0:
+                before[third] = place
+            put(second, none)
+            put(place, leaf(place, third))
+            if first >= 0:
+                put(first, leaf(first, place))
+        return sym
+
+
+class Memory:
+    """What was worked out before, by key: at least the last ``keep`` keys, at most twice as many."""
+
+    def __init__(self, keep: int):
+        self.keep = keep
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, keys: set[str], learn: Callable[[list[str]], dict[str, bytes]]) -> dict[str, bytes]:
+        """A table that holds all of the keys; unknown ones are learnt together."""
+        if len(self.new) > self.keep:
+            self.old, self.new = self.new, {}
+        missing = keys - self.new.keys()
+        known = missing & self.old.keys()
+        self.new.update((k, self.old[k]) for k in known)
+        unknown = list(missing - known)
+        if unknown:
+            self.new.update(learn(unknown))
+        return self.new
+
+
 class BytePairs:
     """Encoder and decoder of one vocabulary file.
 
-    Chunks that were encoded before are looked up; at most ``keep`` are kept.
+    Chunks that were encoded before are looked up, and pieces that other chunks
+    held; of both the last ``keep`` and more are remembered.
     """
 
     def __init__(self, path: str, keep: int = 200_000):
@@ -128,10 +203,9 @@ class BytePairs:
         for token, i in [*vocab.items(), *self.special.items()]:
             known = all(c in byte_of for c in token)
             self.token_bytes[i] = b"".join(byte_of[c] for c in token) if known else token.encode()
-        self.pieces, self.chunks = regex.compile(PIECES), regex.compile(CHUNKS)
+        self.pieces, self.chunks = regex.compile(PIECES), re.compile(CHUNKS)
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if special else None
-        self.known: dict[str, bytes] = {}
-        self.keep = keep
+        self.known, self.merged = Memory(keep), Memory(keep)
 
     def merge_pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of each piece as little-endian 32-bit numbers; sizes of like trees go together."""
@@ -154,28 +228,25 @@ class BytePairs:
                     start = end
         return out
 
-    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of chunks seen for the first time."""
-        cut = {c: self.pieces.findall(c) for c in chunks}
-        merged = self.merge_pieces(list({p for ps in cut.values() for p in ps}))
-        return {c: merged[ps[0]] if len(ps) == 1 else b"".join([merged[p] for p in ps]) for c, ps in cut.items()}
+        cut = [self.pieces.findall(c) for c in chunks]
+        merged = self.merged.get({p for ps in cut for p in ps}, self.merge_pieces)
+        return {c: merged[ps[0]] if len(ps) == 1 else b"".join([merged[p] for p in ps]) for c, ps in zip(chunks, cut, strict=True)}
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         parts = [self.splitter.split(t) if self.splitter else [t] for t in texts]
         cut = [[self.chunks.findall(p) if i % 2 == 0 else p for i, p in enumerate(ps)] for ps in parts]
-        seen = {c for ps in cut for p in ps[::2] for c in p}
-        new = self.learn(seen - self.known.keys())
-        known = self.known
-        if len(known) + len(new) > self.keep:
-            known = {c: known[c] for c in seen & known.keys()}
-        known |= new
-        get = known.__getitem__
+        seen: set[str] = set()
+        for ps in cut:
+            for p in ps[::2]:
+                seen.update(p)
+        get = self.known.get(seen, self.learn).__getitem__
         out = []
         for ps in cut:
             ids = [b"".join(map(get, p)) if i % 2 == 0 else self.special[p].to_bytes(4, "little") for i, p in enumerate(ps)]
             out.append(b"".join(ids))
-        self.known = known if len(known) <= self.keep else {}
         return out
 
     def decode_bytes(self, ids: bytes) -> bytes:
