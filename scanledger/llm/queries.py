@@ -71,7 +71,8 @@ FROM shown GROUP BY conv_id
 
 def wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = wavelet.write_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
-    return wavelet.read_files(files, keep_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+    read = wavelet.read_files(files, keep_ids=False, counted=1)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32", F.col("n_counted").alias("n_end_ids"))
 
 
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
