@@ -66,10 +66,26 @@ def test_bpe_is_the_library(spark, awkward):
 def test_bpe_merges_long_pieces():
     path = public_tokenizers.path("byte_bpe_50k.json")
     library, own = Tokenizer.from_file(path), bpe.BytePairs(path)
-    for text in ("ab" * 700, "=" * 999, " " * 300 + "x", "it's we'll 'S", "\x1c\x85 a"):
+    for text in ("ab" * 80_000, "the cat " * 9, "".join(words(3, 5000, 90)), "ab" * 700, "=" * 999, " " * 300 + "x", "it's we'll 'S", "\x1c\x85 a"):
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_forgets_by_age():
+    """Few things are kept, and the ids stay those of the library."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), bpe.BytePairs(path, keep=30)
+    for seed in range(6):
+        texts = [" ".join(words(seed * 3 + i, 200, 60 + 40 * seed)) + ", the end." for i in range(4)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(own.known.old) < 500
+    memory = bpe.Memory(2)
+    learnt = []
+    learn = lambda ks: learnt.extend(ks) or {k: k.encode() for k in ks}
+    for keys in ({"a", "b", "c"}, {"a"}, {"d", "e"}, {"a", "b"}):
+        assert memory.get(keys, learn).keys() >= keys
+    assert sorted(learnt) == ["a", "b", "b", "c", "d", "e"] or learnt.count("a") == 1
+
+
 def test_wavelet_files(spark, awkward):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
@@ -95,6 +111,46 @@ def test_wavelet_matrix():
     assert wavelet.WaveletMatrix.of(np.zeros(0, np.uint32)).ids().tolist() == []
 
 
+def test_wavelet_blocks():
+    """Only blocks that are asked for are unpacked, and many ranks agree with one by one."""
+    ids = np.random.default_rng(2).integers(0, 40_000, 300_000)
+    _, _, matrix = wavelet.read_shard(wavelet.write_shard([1], np.array([len(ids)]), ids))
+    assert matrix.count(int(ids[5])) == (ids == ids[5]).sum()
+    assert all(len(p.unpacked) <= 2 < len(p.blocks) for p in matrix.planes)
+    token = int(ids[77])
+    assert list(matrix.occurrences(token)) == np.flatnonzero(ids == token).tolist()
+    edges = np.array([0, 1, 65_535, 65_536, 65_537, 200_000, 200_000, 300_000])
+    assert matrix.counts(token, edges).tolist() == [(ids[a:b] == token).sum() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    assert (matrix.ids() == ids).all() and matrix.counts(1 << 20, edges).sum() == 0
+
+
+def test_wavelet_searches_of_shards(spark, awkward):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    files = wavelet.write_files(documents(spark, awkward), path, 1, partitions=3, shard_ids=600)
+    whole = [(i, np.array([*library.encode(t or "", add_special_tokens=False).ids, 1])) for i, t in awkward]
+    tokens = [1, int(whole[0][1][0]), int(whole[2][1][3]), 48_000, 1 << 18]
+    every = np.concatenate([x for _, x in whole])
+    assert {r.token: r.n for r in wavelet.count_tokens(files, tokens).collect()} == {t: int((every == t).sum()) for t in tokens}
+    for token in tokens[:3]:
+        expected = [(i, int(p)) for i, x in whole for p in np.flatnonzero(x == token)]
+        assert collect(wavelet.find_token(files, token)) == key(expected)
+    counted = wavelet.read_files(files, counted=1).select("doc_id", "n_counted")
+    assert collect(counted) == key([(i, int((x == 1).sum())) for i, x in whole])
+    assert wavelet.count_tokens(files.limit(0), [3]).collect() == [(3, 0)]
+
+
+def test_words_are_encoded_as_the_library_does():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), wavelet.WordEncoder(path, keep=100)
+    texts = ["It's WE'LL 's''s", "<|endoftext|>x <|startoftext|>", "a\x01b \x01 c", "ΣΑΣ ὈΔΥΣΣΕΎΣ", "e\u0301 \u0301e", "x\u3000y\x85z\u00a0w", "word, word,, 12ab3", "\x1c\x1d a", "İstanbul ǅ ﬁ"]
+    texts += [f"a{chr(c)}b {chr(c)}" for c in range(1, 0x3000)]
+    for start in range(0, len(texts), 500):
+        part = texts[start : start + 500]
+        got = own.encode(t.encode() for t in part)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in part]
+
+
 def test_chat_round_trip(spark):
     texts = ["plain", "", None, chat.END, f"{chat.END}{chat.START}assistant ok", r"<\|im_end|> <\\| <| <\n|", "a\n<|im_end|>\nb", r"\<|", "<|im_start|>"]
     roles = ["user", "assistant", "a\nb", r"<\n|", r"<\\n|", "", None, chat.START, r"<\|"]
@@ -213,6 +269,33 @@ def uncovered(found, texts, least):
     return {(i, p) for i, p in repeated if not any(s <= p and p + least + 3 <= e for s, e in spans[i])}
 
 
+@pytest.mark.parametrize("strangers", [False, True])
+@pytest.mark.parametrize(("length", "changes"), [(60, (20,)), (120, (40, 80)), (120, (60,)), (300, (50, 100, 150, 200, 250)), (300, (60, 180))])
+def test_near_copies_of_passages(spark, length, changes, strangers):
+    """Copies with changed words, at similarities from 0.8 to 0.95, each in two documents; with strangers that hold half the shingles, too."""
+    pairs, texts = 30, []
+    for i in range(pairs):
+        passage = [f"p{i}x{w}" for w in words(1000 * length + i, length, 10_000)]
+        copy = [f"changed{i}" if j in changes else w for j, w in enumerate(passage)]
+        if strangers:
+            texts += [(10 * i + j, " ".join([f"s{i}y{j}z{w}" for w in words(j, 30)] + passage[: length // 2])) for j in (0, 1)]
+        for j, said in ((5, passage), (6, copy)):
+            texts.append((10 * i + j, " ".join([f"b{i}y{j}z{w}" for w in words(7, 70)] + said + [f"a{i}y{j}z{w}" for w in words(8, 50)])))
+    found = {(r.doc_id, r.partner_id) for r in passages.repeated_passages(documents(spark, texts)).collect()}
+    caught = sum((10 * i + 5, 10 * i + 6) in found and (10 * i + 6, 10 * i + 5) in found for i in range(pairs)) if not strangers else sum({10 * i + 5, 10 * i + 6} <= {a for a, _ in found} for i in range(pairs))
+    assert caught >= 0.9 * pairs
+
+
+@pytest.mark.parametrize("percent", [80, 89, 100])
+def test_longest_dense_stretch(percent):
+    random = np.random.default_rng(percent)
+    for _ in range(200):
+        hit = random.random(int(random.integers(1, 40))) < random.choice([0.3, 0.8, 0.95])
+        best = max((e - s for s in range(len(hit)) for e in range(s + 1, len(hit) + 1) if 100 * hit[s:e].sum() >= percent * (e - s)), default=0)
+        s, e = passages.longest_dense(hit, percent)
+        assert e - s == best and 100 * hit[s:e].sum() >= percent * (e - s)
+
+
 def test_stretch_keys():
     runs = passages.mix(np.random.default_rng(0).integers(0, 3, 2000).astype(np.uint64))
     for least in (3, 46):
