@@ -17,6 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -105,7 +106,7 @@ class WaveletMatrix:
         seq = ids.astype(np.uint16 if width <= 16 else np.uint32)
         planes = []
         for level in range(width - 1, -1, -1):
-            ones = (seq >> seq.dtype.type(level) & seq.dtype.type(1)).astype(bool)
+            ones = (seq & seq.dtype.type(1 << level)) != 0
             planes.append(Plane.of(ones))
             seq = np.concatenate([seq[~ones], seq[ones]])
         return cls(len(ids), planes)
@@ -226,25 +227,33 @@ class WordEncoder:
         special = [t["content"] for t in spec["added_tokens"]]
         self.whole = re.compile("|".join(map(re.escape, [APART, *special])))
 
-    def encode(self, texts: Iterable[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [t.split() for t in texts]
-        seen: set[bytes] = set()
-        for ws in cut:
-            seen.update(ws)
-        get = self.words.get(seen, self.learn).__getitem__
-        return [b"".join(map(get, ws)) for ws in cut]
-
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers; a null text has none.
+
+        Words are told apart and counted by Arrow, so Python sees each word of
+        the texts once, and their ids are put together as one array.
+        """
+        cut = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        each = list(map(self.words.get(set(words), self.learn).__getitem__, words))
+        flat, sizes = np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) // 4
+        of = coded.indices.to_numpy()
+        ends = np.cumsum(sizes[of])
+        first = (np.cumsum(sizes) - sizes)[of] - (ends - sizes[of])
+        ids = flat[np.repeat(first, sizes[of]) + np.arange(len(first) and ends[-1])]
+        edges = np.append(0, ends)[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        return [ids[s:e].tobytes() for s, e in zip(edges[:-1], edges[1:], strict=True)]
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words seen for the first time."""
-        texts = [w.decode() for w in words]
-        plain = [i for i, t in enumerate(texts) if self.cut and not self.whole.search(t)]
-        normal = self.tokenizer.normalizer.normalize_str(APART.join([texts[i] for i in plain])).split(APART) if plain and self.tokenizer.normalizer else [texts[i] for i in plain]
-        cut = dict(zip(plain, map(self.cut.findall, normal), strict=True)) if plain else {}
-        known = self.pieces.get({p for ps in cut.values() for p in ps}, self.encode_pieces) if cut else {}
-        out = {words[i]: b"".join([known[p] for p in ps]) for i, ps in cut.items()}
-        rest = [i for i in range(len(words)) if i not in cut]
-        return out | dict(zip([words[i] for i in rest], self.encode_words([texts[i] for i in rest]), strict=True))
+        plain = [w for w in words if self.cut and not self.whole.search(w)]
+        normal = self.tokenizer.normalizer.normalize_str(APART.join(plain)).split(APART) if plain and self.tokenizer.normalizer else plain
+        cut = list(map(self.cut.findall, normal)) if plain else []
+        known = self.pieces.get({p for ps in cut for p in ps}, self.encode_pieces) if cut else {}
+        out = {w: known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for w, ps in zip(plain, cut, strict=True)}
+        rest = [w for w in words if w not in out]
+        return out | dict(zip(rest, self.encode_words(rest), strict=True))
 
     def encode_pieces(self, pieces: list[str], together: int = 2000) -> dict[str, bytes]:
         """Ids of each piece; many go to the library as one text, in which only the last token of a piece ends a word."""
@@ -325,8 +334,7 @@ def write_files(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], ["first_doc", "seq", "n_docs", "n_ids", "file"])
 
         for batch in text_slices(batches, "text"):
-            texts = (t.encode() if t else b"" for t in batch.column("text").to_pylist())
-            for name, ids in zip(batch.column("doc_id").to_pylist(), encoder(path).encode(texts), strict=True):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), encoder(path).encode(batch.column("text")), strict=True):
                 names.append(name)
                 held.append(ids + end)
                 size += len(ids) // 4 + 1

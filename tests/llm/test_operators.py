@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -147,7 +148,7 @@ def test_words_are_encoded_as_the_library_does():
     texts += [f"a{chr(c)}b {chr(c)}" for c in range(1, 0x3000)]
     for start in range(0, len(texts), 500):
         part = texts[start : start + 500]
-        got = own.encode(t.encode() for t in part)
+        got = own.encode(pa.array(["dropped", *part]).slice(1))
         assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in part]
 
 
