@@ -26,6 +26,8 @@ def check(function: Callable[[], str]) -> Callable[[], str]:
 
 
 def all_checks() -> dict[str, str]:
+    from . import file_checks  # noqa: F401 - registers its checks
+
     return {name: build() for name, build in _CHECKS.items()}
 
 

@@ -19,7 +19,7 @@ from ..functions.fixed_values import CONCEPT_QUESTIONS, EVIDENCE_SEPARATOR
 from ..functions.text import eligible_text, sentences
 from ..operators import combine, enforce, labels, metrics, requests, responses, sampling
 from ..operators.lexicon import default_lexicon
-from ..session import shared_folder
+from ..session import partitions, shared_folder, spread
 from ..sources.reports import last_wins, parse_json_reports
 from ..sources.store import StageStore
 from ..sources.tables import parse_results_documents, parse_typed_answers
@@ -38,6 +38,8 @@ def query(function: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
+    from . import file_queries  # noqa: F401 - registers its queries
+
     return dict(_QUERIES)
 
 
@@ -748,6 +750,8 @@ def stream_labels(spark, sf_dir):
     """Labels of a stream of documents, written as they arrive."""
     folder = _run_folder(spark, "labels")
     arriving = incremental.stream_table(spark, f"{sf_dir}/documents.parquet", "doc_id BIGINT, text STRING")
+    # A single file is read in few pieces; labelling is dealt to as many tasks as a batch run has.
+    arriving = spread(arriving, partitions(spark))
     reports = arriving.selectExpr("CAST(doc_id AS STRING) AS report_id", f"{derived.REPORT_TEXT_SQL} AS report_text")
     incremental.label_stream(reports, f"{folder}/labels", f"{folder}/checkpoint").awaitTermination()
     written = spark.read.schema("report_id STRING, concept STRING, label INT, evidence ARRAY<STRING>")

@@ -46,10 +46,15 @@ def catalog_from_mapping(config: dict) -> Catalog:
     return Catalog(str(config.get("modality", "")), tuple(categories))
 
 
-def read_catalog(path: str | Path) -> Catalog:
+def read_catalog(path: str | Path, spark: SparkSession | None = None) -> Catalog:
+    """The catalog of a YAML file: one beside the driver, or, with ``spark``, in any store that Spark reads."""
     import yaml
 
-    return catalog_from_mapping(yaml.safe_load(Path(path).read_text(encoding="utf-8")))
+    if spark is None:
+        content = Path(path).read_text(encoding="utf-8")
+    else:
+        content = "\n".join(r.value for r in spark.read.text(str(path), wholetext=True).collect())
+    return catalog_from_mapping(yaml.safe_load(content))
 
 
 def read_templates(path: str | Path) -> dict[str, str]:

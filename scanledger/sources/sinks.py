@@ -19,8 +19,10 @@ IMPERFECT_COLUMNS = (
 )
 
 
-def _csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("escape", '"').csv(path, header=True)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV files with a header.  Blanks around a text stay: without these options Spark cuts them off."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(escape='"', **kept).csv(path, header=True)
 
 
 def write_final_results(combined: DataFrame, path: str) -> None:
@@ -32,7 +34,7 @@ def write_final_results(combined: DataFrame, path: str) -> None:
 
 
 def write_wide_labels(results: DataFrame, names: Sequence[str], path: str) -> None:
-    _csv(to_wide(results, names), path)
+    write_csv(to_wide(results, names), path)
 
 
 def write_nested_labels(results: DataFrame, names: Sequence[str], path: str) -> None:
@@ -55,7 +57,7 @@ def _one_file(bounded: DataFrame, order: Sequence[Column | str] = ()) -> DataFra
 
 def write_sheet(sample: DataFrame, path: str, order: Sequence[Column | str] = ()) -> None:
     """A bounded sample for people to fill in, as one CSV file."""
-    _csv(_one_file(sample, order), path)
+    write_csv(_one_file(sample, order), path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
@@ -64,14 +66,14 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
 
 def write_metric_table(metrics: DataFrame, support: str, path: str) -> None:
     """Metrics per concept, worst first, as one CSV file."""
-    _csv(_one_file(metrics, [F.asc("f1"), F.desc(support)]), path)
+    write_csv(_one_file(metrics, [F.asc("f1"), F.desc(support), "disease"]), path)
 
 
 def write_case_table(cases: DataFrame, path: str) -> None:
     """Metrics per case: as many rows as cases, so as many files as tasks."""
-    _csv(cases, path)
+    write_csv(cases, path)
 
 
 def write_imperfect(tasks: DataFrame, path: str) -> None:
     """Tasks below the threshold, worst first, fixed column order."""
-    _csv(_one_file(tasks.select(*IMPERFECT_COLUMNS), ["accuracy"]), path)
+    write_csv(_one_file(tasks.select(*IMPERFECT_COLUMNS), ["accuracy"]), path)

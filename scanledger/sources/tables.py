@@ -77,14 +77,14 @@ def read_label_table(spark: SparkSession, path: str, id_col: str = "case_id") ->
     return raw, [c for c in raw.columns if c != id_col]
 
 
-def read_response_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_response_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """value and ord (position over files and lines) of JSON-lines response files."""
     position = F.struct(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return spark.read.text(path).select("value", position.alias("ord"))
+    return spark.read.text(path if isinstance(path, str) else list(path)).select("value", position.alias("ord"))
 
 
 def read_annotation_sheet(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
