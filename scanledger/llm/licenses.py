@@ -54,7 +54,6 @@ HEAD_BLOCK = r"(?s)\A\uFEFF?(?:#![^\n]*\n|<\?[^\n]*\n)?\s*(/\*.*?\*/|<!--.*?-->|
 NO_COMMENT = r"(?m)^(?![ \t]*(?://|#|\*|/\*|--|;|%|!|<!--|<\?|dnl\b|rem\b|REM\b|\r?$))"
 #: Where the part of a head comment that speaks of its licence begins.
 HEAD_CUE = r"(?i)licen[cs]ed under|this (?:program|library|file|software|work|source code form) (?:is|and)|permission (?:is|to use)|redistribution and use|to the extent possible under law"
-TITLE_CHARS = 1000
 
 
 def terms_of(text: str) -> list[str]:
@@ -146,8 +145,10 @@ def named_licences(files: DataFrame, known: list[str]) -> DataFrame:
     by_name = F.create_map(*[F.lit(x) for n in known for x in (n.lower(), n)])
     spdx = F.get(F.filter(F.transform(plain, lambda n: F.element_at(by_name, n)), lambda n: n.isNotNull()), F.lit(0))
     licence_file = F.substring_index("path", "/", -1).rlike(LICENCE_FILE)
-    start = F.substring("text", 1, TITLE_CHARS)
-    title = F.when(licence_file, F.coalesce(*[F.when(start.rlike(rf"(?im)^[ \t#=*]*{pattern}[ \t\r=*]*$"), F.lit(n)) for n, pattern in TITLES.items()]))
+    # The first title of the whole file counts; a licence that names others does so behind its own.
+    at = lambda pattern: F.nullif(F.regexp_instr("text", F.lit(rf"(?im)^[ \t#=*]*{pattern}[ \t\r=*]*$")), F.lit(0))
+    places = [F.struct(at(pattern).alias("at"), F.lit(i).alias("order"), F.lit(n).alias("name")) for i, (n, pattern) in enumerate(TITLES.items())]
+    title = F.when(licence_file, F.array_min(F.filter(F.array(*places), lambda p: p["at"].isNotNull()))["name"])
     kinds = F.array(F.struct(F.lit(3).alias("rank"), F.lit(1.0).alias("cosine"), spdx.alias("name")), F.struct(F.lit(1).alias("rank"), F.lit(1.0).alias("cosine"), title.alias("name")))
     return files.select("path", F.explode(kinds).alias("k")).where("k.name IS NOT NULL").select("path", "k.*")
 
@@ -157,7 +158,7 @@ def stated_licences(files: DataFrame, templates: dict[str, str], near: float, te
     weights, other = inverse_frequencies(templates)
     vectors = unit_vectors(templates)
     names = sorted(templates)
-    best = nearest(statements(files).withColumn("key", F.col("statement")), names, [vectors[n] for n in names], weights, other, damped=False).where(F.col("best.cosine") >= near)
+    best = nearest(statements(files).withColumn("key", F.md5("statement")), names, [vectors[n] for n in names], weights, other, damped=False).where(F.col("best.cosine") >= near)
     said = best.select("path", F.lit(0).alias("rank"), F.col("best.cosine").alias("cosine"), name_at(names, -F.col("best.at")).alias("name"))
     known = sorted({*names, *(n for n, _ in texts)})
     found = said.unionByName(text_licences(files, texts, TEXT_NEAR)).unionByName(named_licences(files, known))
