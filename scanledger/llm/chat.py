@@ -70,15 +70,16 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     Turns stand in the order of their turn number, null first, then of role and
     text; repeated rows are turns of their own.  Null roles and texts are empty.
     ``loss_spans`` are the places (start, end) in ``formatted``, in code points,
-    of the texts of ``trained_role``.  Rows without a conversation id form one
-    conversation.  The run fails if a conversation does not come back from the
+    of the texts of ``trained_role``.  Each row without a conversation id is a
+    conversation of its own.  The run fails if a conversation does not come back from the
     parser exactly as it was.
     """
     rows = narrow(turns, conv_id=conv_col, turn=turn_col, role=role_col, text=text_col).fillna("", ["role", "text"])
+    rows = rows.withColumn("alone", F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()))
     role, text = F.col("role"), F.col("text")
     tried = settle(rows, {"plain": _comes_back(role, text, render(role, text))})
     shown = tried.withColumns({"shown_role": F.when(F.col("plain"), role).otherwise(escape_role(role)), "shown_text": F.when(F.col("plain"), text).otherwise(escape_text(text))})
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    order = Window.partitionBy("conv_id", "alone").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     piece = render(F.col("shown_role"), F.col("shown_text"))
     placed = shown.withColumn("piece", piece).withColumns(
         {
@@ -87,7 +88,7 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
         }
     )
     own = F.struct("place", "piece", "role", "text", "start", (F.col("start") + F.length("shown_text")).alias("end"))
-    joined = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(own)).alias("all"))
+    joined = placed.groupBy("conv_id", "alone").agg(F.array_sort(F.collect_list(own)).alias("all"))
     whole = settle(joined, {"formatted": F.array_join(F.col("all.piece"), "")})
     source = F.transform("all", lambda t: F.struct(t.role.alias("role"), t.text.alias("text")))
     same = F.coalesce(parse(F.col("formatted")) == source, F.lit(False))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from scanledger.llm.common import narrow, text_slices
+from scanledger.llm.common import narrow, staged, text_slices
 from scanledger.llm.words import NOT_ALPHANUMERIC, Words
 
 WIDTH = 5
@@ -143,8 +143,12 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 
 def drop_holders(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", percent: int = CONTAINMENT, block: int = BLOCK_SHINGLES) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    out = docs
+    """The rows of ``docs`` that hold no item, with all their columns.
+
+    One block of items is looked for after the other, and what is left is
+    written down in between, so a task holds the index of one block.
+    """
+    out, before = docs, False
     for names, texts in item_blocks(items, item_id, item_text, block):
         sent = docs.sparkSession.sparkContext.broadcast((names, texts))
 
@@ -155,5 +159,6 @@ def drop_holders(docs: DataFrame, items: DataFrame, text_col: str = "text", item
                 keep[[f[0] for f in index.found(batch.column(text_col))]] = False
                 yield batch.filter(pa.array(keep))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = (staged(out, "without-items") if before else out).mapInArrow(run, docs.schema)
+        before = True
     return out
