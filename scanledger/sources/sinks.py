@@ -11,13 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.fixed_values import IMPERFECT_COLUMNS
 from ..operators.labels import to_nested, to_wide
 
-IMPERFECT_COLUMNS = (
-    "qc_type", "task_name", "accuracy", "accuracy_percent", "n_samples", "n_annotated", "evaluation_type",
-    "question_text", "precision", "recall", "f1_score", "specificity", "npv",
-)
-
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV files with a header.  Blanks around a text stay: without these options Spark cuts them off."""

@@ -28,11 +28,12 @@ class StageStore:
     Rows lie in folders by a hash of their report.  An append or a resume asks
     which of these a batch falls into and reads no others: a batch costs what
     it holds and its buckets, not what is stored.  ``buckets`` counts when a
-    table is made; from then on the number written beside it does.
+    table is made, the session's shuffle partitions where it is not given; from
+    then on the number written beside the table does.
     """
 
     path: str
-    buckets: int = 64
+    buckets: int | None = None
 
     def location(self, stage: str) -> str:
         if stage not in STAGE_COLUMNS:
@@ -52,7 +53,7 @@ class StageStore:
         known = self._read(spark, f"{self.location(stage)}/layout", "buckets int")
         found = known.agg(F.max("buckets")).first()[0] if known is not None else None
         if found is None:
-            found = self.buckets
+            found = self.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
             spark.range(1).select(F.lit(found).alias("buckets")).write.mode("overwrite").parquet(f"{self.location(stage)}/layout")
         return found
 
