@@ -195,6 +195,7 @@ def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The layout of the given pages in SQL: what stands in the one article, block by block.
+#: Titles are cut off at a length, so a character reference can lack its end.
 MAIN_TEXT_SQL = r"""
 WITH marked AS (
   SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(
@@ -203,7 +204,8 @@ WITH marked AS (
   FROM pages
 ), lines AS (
   SELECT page_id, url, list_transform(string_split(regexp_replace(body, '<[^>]*>', '', 'g'), chr(10)),
-    lambda line: replace(replace(replace(replace(replace(line, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&')) AS said
+    lambda line: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      line, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#x27;?', chr(39), 'g'), '&amp;?', '&', 'g')) AS said
   FROM marked
 ), joined AS (
   SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(said, lambda line: trim(regexp_replace(line, ' +', ' ', 'g'))), lambda line: line <> ''), chr(10)), '') AS text
