@@ -401,6 +401,19 @@ def test_all_windows_of_the_first_document_are_linked():
     assert sorted(sent.tolist()) == [0, 1, 3]
 
 
+def test_blocks_give_back_their_rows():
+    rng = np.random.default_rng(0)
+    for is_link, kinds in ((True, passages.LINK), (False, passages.WINDOW)):
+        for n in (0, 1, 5000):
+            part, columns = rng.integers(0, 7, n).astype(np.int32), [rng.integers(-(1 << 31), (1 << 31) - 1, n) for _ in kinds]
+            batches = list(passages.blocks(part, is_link, columns))
+            assert all(x == [is_link] * len(x) for x in (b.column("is_link").to_pylist() for b in batches))
+            held = [(p, x) for b in batches for p, x in zip(b.column("part").to_pylist(), b.column("block").to_pylist(), strict=True)]
+            assert len({p for p, _ in held}) == len(held) == len(set(part.tolist()))
+            found = [(p, *r) for p, x in held for r in zip(*(c.tolist() for c in passages.unpacked([x], kinds)), strict=True)]
+            assert sorted(found) == sorted(zip(part.tolist(), *(c.tolist() for c in columns), strict=True))
+
+
 def test_compact_windows():
     rng = np.random.default_rng(0)
     for least in (2, 5):
