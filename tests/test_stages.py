@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from scanledger.operators import combine
 from scanledger.operators.requests import build_requests
-from scanledger.plans.completion import complete
+from scanledger.plans.completion import PROMPT_BYTES, complete
 from scanledger.plans.stages import check_stage_inputs, ordered_stages, run_stages
 from scanledger.sources import sinks
 from scanledger.sources.catalog import Catalog, Category
@@ -161,6 +161,21 @@ def test_completion_survives_failures(spark):
     assert {r.content for r in short.collect()} == {"only one"}
 
 
+def test_responder_is_given_a_bounded_amount_of_text(spark):
+    """However many rows an Arrow batch has, prompts come some megabytes at a time, whole and in order."""
+    asked = spark.range(0, 300, 1, 1).selectExpr("id", "CASE WHEN id <> 7 THEN repeat(id, 20000) END AS prompt")
+
+    def weigh(prompts):
+        most = sum(len(p or "") for p in prompts)
+        return [f"{most} {len(p)} {p[:3]}" for p in prompts]
+
+    found = {r["id"]: r["content"] for r in complete(asked, weigh).collect()}
+    assert set(found) == set(range(300)) and found[7] == ""
+    rows = {i: c.split() for i, c in found.items() if i != 7}
+    assert all(int(n) == 20000 * len(str(i)) and start == (str(i) * 3)[:3] for i, (_, n, start) in rows.items())
+    assert max(int(most) for most, _, _ in rows.values()) <= PROMPT_BYTES
+
+
 def test_running_twice_asks_only_what_is_open(spark, tmp_path):
     store = StageStore(str(tmp_path))
     reports = reports_of(spark, "first report", "second report")
