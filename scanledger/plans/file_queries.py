@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import labels, metrics, requests, responses, sampling
 from ..operators.lexicon import ConceptRule
+from ..session import written
 from ..sources import sinks
 from ..sources.catalog import read_catalog
 from ..sources.reports import read_csv_texts, read_reports
@@ -99,7 +100,11 @@ def results_file(spark, sf_dir):
             "qa_results": F.coalesce("qa_results", F.create_map().cast("map<string,array<map<string,string>>>")),
         }
     )
-    return queries._shown(empty).join(back.select("report_id", "error", "processing_time"), "report_id")
+    # Each row is shown once for every row of its id.  Few ids repeat, so texts are not moved for that.
+    twice = written(back.where("report_id IS NOT NULL").groupBy("report_id").count().where("count > 1"), "twice")
+    shown = queries._shown(empty, "error", "processing_time").where("report_id IS NOT NULL")
+    times = F.explode(F.array_repeat(F.lit(1), F.coalesce(F.col("count").cast("int"), F.lit(1))))
+    return shown.join(twice, "report_id", "left").select("*", times.alias("time")).drop("count", "time")
 
 
 @query

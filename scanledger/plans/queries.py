@@ -335,7 +335,7 @@ def valid_category_maps(spark, sf_dir):
     return combine.flatten_categories(responses.valid_category_map(nested))
 
 
-def _shown(results: DataFrame) -> DataFrame:
+def _shown(results: DataFrame, *extra: str) -> DataFrame:
     categories = F.transform(
         F.array_sort(F.map_entries("category_findings")), lambda e: F.concat(e["key"], F.lit("="), e["value"])
     )
@@ -355,7 +355,7 @@ def _shown(results: DataFrame) -> DataFrame:
     )
     return results.select(
         "report_id", "raw_text", "no_comparison_text", "findings_text",
-        F.array_join(categories, "|").alias("categories"), F.array_join(answers, "|").alias("answers"),
+        F.array_join(categories, "|").alias("categories"), F.array_join(answers, "|").alias("answers"), *extra,
     )
 
 

@@ -6,6 +6,7 @@ import pytest
 from scanledger.functions.fixed_values import CONCEPT_QUESTIONS
 from scanledger.operators.labels import label_results, names_of
 from scanledger.operators.responses import parse_response_lines
+from scanledger.plans.file_queries import results_file
 from scanledger.sources import sinks
 from scanledger.sources.catalog import (
     catalog_from_mapping,
@@ -146,3 +147,16 @@ def test_label_files(spark, tmp_path):
     rows = [json.loads(x) for f in (tmp_path / "lines").glob("*.json") for x in f.read_text().splitlines()]
     assert len(rows) == 2 and rows[0]["labels"]["fracture"] == 1 and rows[0]["raw_payload"] == "{}"
     assert rows[0]["evidence"]["fracture"][0] == "Rib fracture." and rows[0]["evidence"]["ascites"] == []
+
+
+def test_results_file_moves_no_text_when_read_back(spark, tmp_path):
+    """Each row comes once for every row of its id; rows without an id are left out; the texts lie where they were read."""
+    rows = [(1, "a b"), (1, "c d"), (20, "e"), (3, None), (None, "f")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = results_file(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan json") == 1 and "Exchange hashpartitioning" not in plan
+    rows = found.collect()
+    assert sorted(r.report_id for r in rows) == ["1"] * 4 + ["20", "3"]
+    assert {(r.report_id, r.error, r.processing_time is None) for r in rows} == {("1", None, False), ("20", "failed", False), ("3", None, False)}
+    assert len({r.raw_text for r in rows if r.report_id == "1"}) == 2
