@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import narrow, staged, text_slices
+from scanledger.llm.common import PIECE_BYTES, narrow, staged, text_slices
 from scanledger.llm.components import components
 from scanledger.llm.words import BLANKS, Words
 
@@ -76,17 +76,19 @@ def shingle_table(docs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             nodes: dict[int, int] = {}
             sizes, keys, fronts = [], [], []
-            for piece in text_slices([batch], "text"):
+            for piece in text_slices([batch], "text", PIECE_BYTES):
                 for members in Words(piece.column("text"), BLANKS).shingle_sets(WIDTH):
                     key = set_key(members) if len(members) else None
                     sizes.append(len(members))
                     keys.append(key)
                     if key is not None and nodes.setdefault(key, len(keys) - 1) == len(keys) - 1:
-                        fronts.append(members[: _first_members(len(members), percent)].view(np.int64))
+                        # A copy, as a view would keep the whole set.
+                        fronts.append(members[: _first_members(len(members), percent)].view(np.int64).copy())
                     else:
                         fronts.append(np.zeros(0, np.int64))
             lengths = np.array([len(f) for f in fronts], dtype=np.int64)
             all_ = np.concatenate([*fronts, np.zeros(0, np.int64)])
+            fronts.clear()
             members, back, times = np.unique(all_, return_inverse=True, return_counts=True)
             many = (times > 1)[back]
             ends = np.concatenate([[0], np.cumsum(lengths)])
@@ -146,7 +148,7 @@ def full_sets(docs: DataFrame, alive: DataFrame) -> DataFrame:
         keys = alive.select("node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", PIECE_BYTES):
             sets = list(Words(batch.column("text"), BLANKS).shingle_sets(WIDTH))
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             members = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 from itertools import combinations
@@ -288,6 +289,24 @@ def test_keep_one_keeps_columns(spark, awkward):
     assert sorted(i for i in ids if i is not None) == [0, 3, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14] and ids.count(None) == 2
 
 
+def test_shingles_of_a_batch_are_made_piece_by_piece():
+    """A batch of 8 MB of text never has the hashes of all its bytes, or the whole sets of all its texts, in memory."""
+    texts = [" ".join(words(i, 300, 10**6)) for i in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(4000)), "text": texts})
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = jaccard.shingle_table(Table(), 80)
+    assert sum(b.num_rows for b in run(iter([batch.slice(0, 10)]))) == 11
+    tracemalloc.start()
+    assert sum(b.num_rows for b in run(iter([batch]))) == 4001
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20, peak
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(40, 30), (30, 40), (50, 50)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
