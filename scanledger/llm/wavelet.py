@@ -22,10 +22,11 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from scanledger.llm.bpe import SPACE, Memory
 from scanledger.llm.common import narrow, staged, text_slices
+from scanledger.llm.words import BLANKS, raw_bytes
 
 MAGIC = b"WMX2"
 HEAD = struct.Struct("<4sQQB")
@@ -33,6 +34,11 @@ PLANE = struct.Struct("<QQ")
 NO_ID = -(1 << 63)
 #: Holds words apart while they are normalized together.
 APART = "\x01"
+#: A cut that leaves runs of letters, single digits and runs of other signs, and what may come before it.
+PLAIN_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN_STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+#: Kinds of bytes; a word with an odd one is not cut by bytes.
+BLANK, LETTER, DIGIT, SIGN, ODD = range(5)
 #: Bits of a block of a plane, which is compressed by itself, and blocks of a plane that are held unpacked.
 BLOCK, HELD = 1 << 16, 64
 
@@ -207,6 +213,9 @@ class WordEncoder:
     of a text are encoded apart: :func:`checked` says which do.  Words are
     normalized and cut as the file says; words that hold a special token or the
     sign that holds words apart here go to the library as they are.
+
+    Where the file cuts letters, digits and signs apart, words of ASCII and the
+    letters of Latin-1 are cut and lowered as bytes, all words of a batch at once.
     """
 
     def __init__(self, path: str, keep: int = 400_000):
@@ -226,27 +235,77 @@ class WordEncoder:
         self.ends[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         special = [t["content"] for t in spec["added_tokens"]]
         self.whole = re.compile("|".join(map(re.escape, [APART, *special])))
+        self.kinds = None
+        if self.cut and split["pattern"]["Regex"] == PLAIN_CUT and (spec["normalizer"] or {}).get("normalizers") == PLAIN_STEPS and not any(t[:1].isalnum() for t in special):
+            self.kinds = byte_kinds(special)
+        # For parts that are normalized and cut for sure; the library's own cut differs for some letters.
+        self.bare = Tokenizer.from_str(self.tokenizer.to_str())
+        if self.kinds is not None:
+            self.bare.normalizer = None
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+    def parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Words of all texts, or what they are cut to, behind each other, and their bounds by text."""
+        if self.kinds is None:
+            cut = pc.ascii_split_whitespace(texts.fill_null(""))
+            return cut.flatten(), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+        data, offsets = raw_bytes(texts)
+        kinds, lowered = self.kinds[data], np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+        # The letters of Latin-1 are a byte C3 and one from 80 on.
+        lead = np.flatnonzero(data == 0xC3)
+        second = data[lead + 1]
+        latin = (second != 0x97) & (second != 0xB7)
+        lead, second = lead[latin], second[latin]
+        kinds[lead] = kinds[lead + 1] = LETTER
+        lowered[lead + 1] = np.where(second <= 0x9E, second + np.uint8(32), second)
+        starts = np.ones(len(data), dtype=bool)
+        starts[1:] = kinds[1:] != kinds[:-1]
+        starts |= kinds == DIGIT
+        starts[offsets[:-1][offsets[:-1] < len(data)]] = True
+        gap = kinds == BLANK
+        odd = np.flatnonzero(kinds == ODD)
+        if len(odd):
+            words = np.ones(len(data), dtype=bool)
+            words[1:] = gap[1:] != gap[:-1]
+            words[offsets[:-1][offsets[:-1] < len(data)]] = True
+            first = np.flatnonzero(words)
+            of = np.unique(np.searchsorted(first, odd, side="right") - 1)
+            sizes = np.append(first[1:], len(data))[of] - first[of]
+            inside = np.repeat(first[of] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            starts[inside] = False
+            starts[first[of]] = True
+            lowered[inside] = data[inside]
+        starts &= ~gap
+        ends = np.append(np.flatnonzero(starts[~gap]), len(data) - np.count_nonzero(gap)).astype(np.int32)
+        flat = pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(lowered[~gap]))
+        return flat, np.searchsorted(np.flatnonzero(starts), offsets)
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; a null text has none.
 
-        Words are told apart and counted by Arrow, so Python sees each word of
-        the texts once, and their ids are put together as one array.
+        Parts of words are told apart and counted by Arrow, so Python sees each
+        part of the texts once, and their ids are put together as one array.
         """
-        cut = pc.ascii_split_whitespace(texts.fill_null(""))
-        coded = cut.flatten().dictionary_encode()
+        flat, bounds = self.parts(texts)
+        coded = flat.dictionary_encode()
         words = coded.dictionary.to_pylist()
         each = list(map(self.words.get(set(words), self.learn).__getitem__, words))
-        flat, sizes = np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) // 4
+        ids, sizes = np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) // 4
         of = coded.indices.to_numpy()
-        ends = np.cumsum(sizes[of])
-        first = (np.cumsum(sizes) - sizes)[of] - (ends - sizes[of])
-        ids = flat[np.repeat(first, sizes[of]) + np.arange(len(first) and ends[-1])]
-        edges = np.append(0, ends)[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        n = sizes[of]
+        ends = np.cumsum(n)
+        first = (np.cumsum(sizes) - sizes)[of] - (ends - n)
+        ids = ids[np.repeat(first, n) + np.arange(len(first) and ends[-1])]
+        edges = np.append(0, ends)[bounds].tolist()
         return [ids[s:e].tobytes() for s, e in zip(edges[:-1], edges[1:], strict=True)]
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words seen for the first time."""
+        """Ids of words, or parts of them, seen for the first time."""
+        if self.kinds is not None:
+            whole = [w for w in words if not PLAIN_PART.fullmatch(w)]
+            if len(whole) < len(words):
+                cut = self.encode_pieces([w for w in words if PLAIN_PART.fullmatch(w)], self.bare)
+                return cut | (self.learn(whole) if whole else {})
         plain = [w for w in words if self.cut and not self.whole.search(w)]
         normal = self.tokenizer.normalizer.normalize_str(APART.join(plain)).split(APART) if plain and self.tokenizer.normalizer else plain
         cut = list(map(self.cut.findall, normal)) if plain else []
@@ -255,11 +314,11 @@ class WordEncoder:
         rest = [w for w in words if w not in out]
         return out | dict(zip(rest, self.encode_words(rest), strict=True))
 
-    def encode_pieces(self, pieces: list[str], together: int = 2000) -> dict[str, bytes]:
+    def encode_pieces(self, pieces: list[str], tokenizer: Tokenizer | None = None, together: int = 2000) -> dict[str, bytes]:
         """Ids of each piece; many go to the library as one text, in which only the last token of a piece ends a word."""
         groups = [pieces[i : i + together] for i in range(0, len(pieces), together)]
         out: dict[str, bytes] = {}
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        for group, found in zip(groups, (tokenizer or self.tokenizer).encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, dtype="<u4")
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             raw = ids.tobytes()
@@ -282,6 +341,21 @@ class WordEncoder:
         return out
 
 
+#: Parts that are normalized and cut for sure; others are learnt as words are.
+PLAIN_PART = re.compile(r"[a-zß-öø-ÿ]+|[0-9]")
+
+
+def byte_kinds(special: list[str]) -> np.ndarray:
+    """The kind of each byte; those that begin a special token, and apostrophes, are odd."""
+    kinds = np.full(256, ODD, dtype=np.uint8)
+    kinds[33:127] = SIGN
+    kinds[[*range(65, 91), *range(97, 123)]] = LETTER
+    kinds[48:58] = DIGIT
+    kinds[[ord("'"), *(t.encode()[0] for t in special if t)]] = ODD
+    kinds[np.frombuffer(BLANKS, np.uint8)] = BLANK
+    return kinds
+
+
 def checked(path: str) -> Tokenizer:
     """The tokenizer of a file, without truncation and padding, if its words stand apart."""
     tokenizer = Tokenizer.from_file(path)

@@ -126,6 +126,24 @@ def test_wavelet_blocks():
     assert (matrix.ids() == ids).all() and matrix.counts(1 << 20, edges).sum() == 0
 
 
+def test_words_are_cut_as_bytes():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = wavelet.WordEncoder(path), wavelet.checked(path)
+    flat, bounds = own.parts(pa.array(["Ab,CD  É×x12", None, "it's e\u0301t <|endoftext|>Z a\x1cB", ""]))
+    assert flat.to_pylist() == ["ab", ",", "cd", "É×x12", "it's", "e\u0301t", "<|endoftext|>Z", "a\x1cB"]
+    assert bounds.tolist() == [0, 4, 4, 8, 8]
+    # A word with other signs around it, or capitals, is learnt once.
+    seen = []
+    own.encode_pieces = lambda pieces, *by, known=own.encode_pieces: seen.extend(pieces) or known(pieces, *by)
+    own.encode(pa.array(["reader, Reader. (READER) réader; RÉADER!"]))
+    assert sorted(p for p in seen if p[0] == "r") == ["reader", "réader"]
+    rng = np.random.default_rng(2)
+    signs = list("abzABZéÉßÿÞ×÷ '`<|>.,_#019²\n\t\x0b\x1c\x85\xa0\x01\x7fǅİΣς\u0301漢한🙂\u200d\u3000")
+    texts = ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(2000)]
+    texts += [" ".join(rng.choice(["I'LL", "<|endoftext|>a", "x<|startoftext|>", "Ünï", "É\u0301", "a1b22c", "don't!", ""], 5)) for _ in range(200)]
+    assert own.encode(pa.array(texts)) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_wavelet_searches_of_shards(spark, awkward):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
