@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import PIECE_BYTES, narrow, staged, text_slices
+from scanledger.llm.common import narrow, staged, text_slices
 from scanledger.llm.components import components
 from scanledger.llm.words import BLANKS, Words
 
@@ -43,7 +43,11 @@ BLOCK = 256
 #: Rounds with leaders, and leaders of each node in a round.
 ROUNDS, LEADERS = 2, 2
 #: Rows (member, node) that one task sorts at once.
-SORTED_ROWS = 3_000_000
+SORTED_ROWS = 1_000_000
+#: Bytes of text whose sets are made at once: they take about a hundred times that for a moment.
+SET_BYTES = 256 << 10
+#: Bytes of text whose members are counted together before they are sent.
+COUNTED_BYTES = 12 << 20
 #: Up to this number of survivors their ids are sent to every task; more are joined by shuffle.
 SENT_IDS = 2_000_000
 
@@ -73,29 +77,38 @@ def shingle_table(docs: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_slices(batches, "text", COUNTED_BYTES):
             nodes: dict[int, int] = {}
-            sizes, keys, fronts = [], [], []
-            for piece in text_slices([batch], "text", PIECE_BYTES):
+            sizes, keys, lengths, held = [], [], [], []
+            for piece in text_slices([batch], "text", SET_BYTES):
+                fronts = [np.zeros(0, np.uint64)]
                 for members in Words(piece.column("text"), BLANKS).shingle_sets(WIDTH):
                     key = set_key(members) if len(members) else None
                     sizes.append(len(members))
                     keys.append(key)
-                    if key is not None and nodes.setdefault(key, len(keys) - 1) == len(keys) - 1:
-                        # A copy, as a view would keep the whole set.
-                        fronts.append(members[: _first_members(len(members), percent)].view(np.int64).copy())
-                    else:
-                        fronts.append(np.zeros(0, np.int64))
-            lengths = np.array([len(f) for f in fronts], dtype=np.int64)
-            all_ = np.concatenate([*fronts, np.zeros(0, np.int64)])
-            fronts.clear()
-            members, back, times = np.unique(all_, return_inverse=True, return_counts=True)
-            many = (times > 1)[back]
+                    first = key is not None and nodes.setdefault(key, len(keys) - 1) == len(keys) - 1
+                    fronts.append(members[: _first_members(len(members), percent) if first else 0])
+                    lengths.append(len(fronts[-1]))
+                # One array for a piece: as views the prefixes would keep whole sets, and as many small copies the memory between them.
+                held.append(np.concatenate(fronts).view(np.int64))
+            del fronts
+            lengths = np.array(lengths, dtype=np.int64)
+            all_ = np.concatenate([*held, np.zeros(0, np.int64)])
+            held.clear()
+            # Which are there more than once, by one sort: the tables of np.unique are larger than the batch.
+            order = np.argsort(all_)
+            members = all_[order]
+            like_next = np.append(members[1:] == members[:-1], False) if len(members) else np.zeros(0, bool)
+            like_last = np.append(False, like_next[:-1]) if len(members) else like_next
+            many = np.empty(len(all_), dtype=bool)
+            many[order] = like_next | like_last
+            members = members[like_next & ~like_last]
+            del order, like_next, like_last
             ends = np.concatenate([[0], np.cumsum(lengths)])
             before = np.concatenate([[0], np.cumsum(many)])
             shared = before[ends[1:]] - before[ends[:-1]]
-            single = np.concatenate([[0], np.cumsum(lengths - shared), [(~many).sum() + (times > 1).sum()]])
-            sent = pa.ListArray.from_arrays(pa.array(single, pa.int32()), pa.array(np.concatenate([all_[~many], members[times > 1]])))
+            single = np.concatenate([[0], np.cumsum(lengths - shared), [(~many).sum() + len(members)]])
+            sent = pa.ListArray.from_arrays(pa.array(single, pa.int32()), pa.array(np.concatenate([all_[~many], members])))
             ids = pa.concat_arrays([batch.column("doc_id").cast(pa.int64()), pa.nulls(1, pa.int64())])
             yield pa.RecordBatch.from_arrays([ids, pa.array([*sizes, None], pa.int64()), pa.array([*keys, None], pa.int64()), pa.array([*shared.tolist(), None], pa.int64()), sent], ["doc_id", "n", "node", "shared", "members"])
 
@@ -106,12 +119,17 @@ def members_elsewhere(sent: DataFrame, partitions: int) -> DataFrame:
     """Of rows (member, node), null for several nodes: how many members of a node others hold too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(np.asarray(b.column("member")), np.asarray(pc.fill_null(b.column("node"), 0)), np.asarray(pc.is_null(b.column("node")))) for b in batches]
-        if not parts:
+        arrived = [b.select(["member", "node"]) for b in batches if b.num_rows]
+        if not arrived:
             return
-        member, node, several = (np.concatenate(p) for p in zip(*parts, strict=True))
+        rows = pa.Table.from_batches(arrived)
+        arrived.clear()
+        member, node = rows.column("member").to_numpy(), rows.column("node")
+        several, node = pc.is_null(node).to_numpy(), pc.fill_null(node, 0).to_numpy()
+        del rows
         order = np.lexsort((node, member))
         member, node, several = member[order], node[order], several[order]
+        del order
         first = np.flatnonzero(np.concatenate([[True], member[1:] != member[:-1]]))
         run_of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(member))))
         # A run counts if it has a row for several nodes, or two different nodes.
@@ -148,7 +166,7 @@ def full_sets(docs: DataFrame, alive: DataFrame) -> DataFrame:
         keys = alive.select("node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", PIECE_BYTES):
+        for batch in text_slices(batches, "text", SET_BYTES):
             sets = list(Words(batch.column("text"), BLANKS).shingle_sets(WIDTH))
             ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             members = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))

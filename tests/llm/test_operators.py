@@ -325,6 +325,43 @@ def test_shingles_of_a_batch_are_made_piece_by_piece():
     assert peak < 100 << 20, peak
 
 
+def test_members_are_counted_in_little_memory():
+    """The tables for counting are a few times the members, in a batch and in a task."""
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            return run
+
+        def repartition(self, *_):
+            return self
+
+    def peak(run, batches):
+        tracemalloc.start()
+        found = [b for b in run(batches)]
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found, most / (1 << 20)
+
+    texts = [" ".join(words(i, 300, 10**6)) for i in range(4000)] + ["a b c d e f", "c d e a b c d e", None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(4003)), "text": texts})
+    found, most = peak(jaccard.shingle_table(Table(), 80), iter([batch]))
+    rows = [r for b in found for r in b.to_pylist()]
+    assert sum(len(r["members"]) for r in rows) == sum(len(set(r["members"])) for r in rows) and rows[4002]["n"] == 0
+    assert most < 45, most
+    rng = np.random.default_rng(3)
+    member, node = rng.integers(0, 400_000, 600_000), rng.integers(0, 1000, 600_000)
+    rows = pa.table({"member": pa.array(member), "node": pa.array(node, mask=node < 3)})
+    found, most = peak(jaccard.members_elsewhere(Table(), 1), iter(rows.to_batches(10_000)))
+    holders, several = defaultdict(set), set(member[node < 3].tolist())
+    for m, k in zip(member.tolist(), node.tolist(), strict=True):
+        holders[m].add(k)
+    expected = np.zeros(1000, int)
+    for m, k in zip(member.tolist(), node.tolist(), strict=True):
+        expected[k] += k >= 3 and (m in several or len(holders[m]) > 1)
+    assert {r["node"]: r["shared"] for b in found for r in b.to_pylist()} == {k: n for k, n in enumerate(expected.tolist()) if n}
+    assert most < 40, most
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(40, 30), (30, 40), (50, 50)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
