@@ -475,6 +475,21 @@ def test_all_windows_of_the_first_document_are_linked():
     assert sorted(sent.tolist()) == [0, 1, 3]
 
 
+def test_strangers_between_near_copies_do_not_hide_them(spark):
+    """Pieces of 30 words that hold all shingles of two near copies stand in 48 documents before and 48 between them."""
+    texts, cases = [], 5
+    for i in range(cases):
+        passage = [f"p{i}x{w}" for w in words(i, 150, 10**6)]
+        copy = [f"changed{i}" if j in (40, 80, 115) else w for j, w in enumerate(passage)]
+        for j, said in ((500, passage), (999, copy)):
+            texts.append((1000 * i + j, " ".join([f"b{i}y{j}z{w}" for w in words(7, 70)] + said + [f"a{i}y{j}z{w}" for w in words(8, 50)])))
+        for piece, start in enumerate(range(0, 150, 26)):
+            for j in [x + 10 * piece + c for x in (100, 600) for c in range(8)]:
+                texts.append((1000 * i + j, " ".join([f"c{i}y{j}z{w}" for w in words(900 + j, 60)] + passage[start : start + 30] + [f"d{i}y{j}z{w}" for w in words(1900 + j, 60)])))
+    found = {(r.doc_id, r.partner_id) for r in passages.repeated_passages(documents(spark, texts)).collect()}
+    assert found == {(1000 * i + a, 1000 * i + b) for i in range(cases) for a, b in ((500, 999), (999, 500))}
+
+
 def test_blocks_give_back_their_rows():
     rng = np.random.default_rng(0)
     for is_link, kinds in ((True, passages.LINK), (False, passages.WINDOW)):
