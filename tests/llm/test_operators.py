@@ -490,6 +490,19 @@ def test_strangers_between_near_copies_do_not_hide_them(spark):
     assert found == {(1000 * i + a, 1000 * i + b) for i in range(cases) for a, b in ((500, 999), (999, 500))}
 
 
+def test_only_texts_with_a_wanted_stretch_are_moved(spark, monkeypatch):
+    """With more documents than are sent with their stretches, others are left out before texts are shuffled."""
+    texts = [(i, " ".join(words(i, 60, 10**6))) for i in range(20)]
+    source = documents(spark, texts).select("doc_id", "text")
+    found = spark.createDataFrame([(1, 0, 31, 2, 0, 31), (3, 0, 63, 2, 0, 31)], passages.REGION_SCHEMA)
+    expected = collect(passages.slices(source, found))
+    assert len(expected) == 4 - 1
+    monkeypatch.setattr(passages, "SENT_IDS", 150)
+    moved = passages.slices(source, found)
+    assert collect(moved) == expected
+    assert "LeftSemi" in moved._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_blocks_give_back_their_rows():
     rng = np.random.default_rng(0)
     for is_link, kinds in ((True, passages.LINK), (False, passages.WINDOW)):
