@@ -116,7 +116,11 @@ def shingle_table(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def members_elsewhere(sent: DataFrame, partitions: int) -> DataFrame:
-    """Of rows (member, node), null for several nodes: how many members of a node others hold too."""
+    """Of rows (member, node), null for several nodes: how many members of a node others hold too, to be added up.
+
+    A single task counts them.  Several give a row for each: a node's members lie
+    in more tasks the more there are, so counts of each task would grow with both.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrived = [b.select(["member", "node"]) for b in batches if b.num_rows]
@@ -136,7 +140,10 @@ def members_elsewhere(sent: DataFrame, partitions: int) -> DataFrame:
         differs = np.zeros(len(first), dtype=bool)
         np.logical_or.at(differs, run_of[1:], (member[1:] == member[:-1]) & (node[1:] != node[:-1]))
         np.logical_or.at(differs, run_of, several)
-        nodes, counts = np.unique(node[differs[run_of] & ~several], return_counts=True)
+        nodes = node[differs[run_of] & ~several]
+        counts = np.ones(len(nodes), np.int64)
+        if partitions == 1:
+            nodes, counts = np.unique(nodes, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(counts, pa.int64())], ["node", "shared"])
 
     return sent.repartition(partitions, "member").mapInArrow(run, "node long, shared long")

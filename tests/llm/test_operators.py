@@ -362,6 +362,38 @@ def test_members_are_counted_in_little_memory():
     assert most < 40, most
 
 
+def test_counted_members_do_not_grow_with_tasks():
+    """Rows that tasks give for a node depend on its members, not on the number of tasks."""
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            return run
+
+        def repartition(self, *_):
+            return self
+
+    rng = np.random.default_rng(5)
+    member, node = rng.integers(0, 3000, 9000), rng.integers(1, 200, 9000)
+    rows, found = {}, {}
+    for tasks in (2, 30):
+        run, counts = jaccard.members_elsewhere(Table(), tasks), defaultdict(int)
+        rows[tasks] = 0
+        for task in range(tasks):
+            own = pa.table({"member": member[member % tasks == task], "node": node[member % tasks == task]})
+            for r in [r for b in run(iter(own.to_batches(100))) for r in b.to_pylist()]:
+                rows[tasks] += 1
+                counts[r["node"]] += r["shared"]
+        found[tasks] = dict(counts)
+    holders = defaultdict(set)
+    for m, k in zip(member.tolist(), node.tolist(), strict=True):
+        holders[m].add(k)
+    expected = defaultdict(int)
+    for m, k in zip(member.tolist(), node.tolist(), strict=True):
+        expected[k] += len(holders[m]) > 1
+    assert found[2] == found[30] == {k: n for k, n in expected.items() if n}
+    assert rows[2] == rows[30]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(40, 30), (30, 40), (50, 50)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
