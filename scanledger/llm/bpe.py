@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from scanledger.llm.common import narrow, text_slices
+from scanledger.llm.common import PIECE_BYTES, give_back, narrow, released, text_slices
 
 #: Characters that end a chunk: the Unicode white space.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -180,7 +180,7 @@ class BytePairs:
     held; of both the last ``keep`` and more are remembered.
     """
 
-    def __init__(self, path: str, keep: int = 200_000):
+    def __init__(self, path: str, keep: int = 100_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, cut = spec["model"], spec["pre_tokenizer"]
@@ -205,7 +205,12 @@ class BytePairs:
             self.token_bytes[i] = b"".join(byte_of[c] for c in token) if known else token.encode()
         self.pieces, self.chunks = regex.compile(PIECES), re.compile(CHUNKS)
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if special else None
-        self.known, self.merged = Memory(keep), Memory(keep)
+        self.keep = keep
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what was learnt: a task learns most of its chunks early, and its worker goes on to other stages."""
+        self.known, self.merged = Memory(self.keep), Memory(self.keep)
 
     def merge_pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of each piece as little-endian 32-bit numbers; sizes of like trees go together."""
@@ -279,9 +284,10 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     unsigned 32-bit numbers.  Other columns of ``docs`` are not looked at.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
-        for batch in text_slices(batches, "text", 2 << 20):
+        for batch in text_slices(batches, "text", PIECE_BYTES):
             ids = bpe.encode(t or "" for t in batch.column("text").to_pylist())
             plain = [bpe.decode(i) for i in ids]
             columns = {
@@ -293,5 +299,8 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 "decoded": pa.array(plain if keep_decoded else [None] * len(ids), pa.string()),
             }
             yield pa.RecordBatch.from_pydict(columns)
+            del ids, plain, columns
+            give_back()
+        bpe.forget()
 
     return narrow(docs, doc_id=id_col, text=text_col).mapInArrow(run, ENCODED)

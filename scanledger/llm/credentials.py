@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from scanledger.llm.common import narrow, text_slices
+from scanledger.llm.common import PIECE_BYTES, narrow, released, text_slices
 
 #: The base patterns, their least lengths, and the order of kinds.
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -126,8 +126,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     other columns are not looked at.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", PIECE_BYTES):
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in linked_spans(t or "", reach)] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").cast(pa.int64()), "spans": pa.array(spans, SPANS)})
 
@@ -146,8 +147,9 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
             text = text[:s] + mark + text[e:]
         return text
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_col):
+        for batch in text_slices(batches, text_col, PIECE_BYTES):
             at = batch.schema.get_field_index(text_col)
             old = batch.column(at)
             new = pa.array([clean(t) for t in old.to_pylist()], old.type)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from scanledger.llm.common import narrow, staged, text_slices
+from scanledger.llm.common import PIECE_BYTES, narrow, released, staged, text_slices
 from scanledger.llm.words import NOT_ALPHANUMERIC, Words
 
 WIDTH = 5
@@ -128,9 +128,10 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     for names, texts in item_blocks(items, item_id, item_text, block):
         sent = docs.sparkSession.sparkContext.broadcast((names, texts))
 
+        @released
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(*sent.value, percent=percent)
-            for batch in text_slices(batches, "text"):
+            for batch in text_slices(batches, "text", PIECE_BYTES):
                 found = list(index.found(batch.column("text")))
                 ids = batch.column("doc_id").cast(pa.int64()).to_pylist()
                 columns = [[ids[f[0]] for f in found], *([f[i] for f in found] for i in (1, 2, 3))]
@@ -152,9 +153,10 @@ def drop_holders(docs: DataFrame, items: DataFrame, text_col: str = "text", item
     for names, texts in item_blocks(items, item_id, item_text, block):
         sent = docs.sparkSession.sparkContext.broadcast((names, texts))
 
+        @released
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(*sent.value, percent=percent)
-            for batch in text_slices(batches, text_col):
+            for batch in text_slices(batches, text_col, PIECE_BYTES):
                 keep = np.ones(batch.num_rows, dtype=bool)
                 keep[[f[0] for f in index.found(batch.column(text_col))]] = False
                 yield batch.filter(pa.array(keep))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import narrow, staged, text_slices
+from scanledger.llm.common import give_back, narrow, released, staged, text_slices
 from scanledger.llm.components import components
 from scanledger.llm.words import BLANKS, Words
 
@@ -76,6 +76,7 @@ def shingle_table(docs: DataFrame, percent: int) -> DataFrame:
     (``shared``) and sent once, in a row without n; the others go with their node.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", COUNTED_BYTES):
             nodes: dict[int, int] = {}
@@ -122,6 +123,7 @@ def members_elsewhere(sent: DataFrame, partitions: int) -> DataFrame:
     in more tasks the more there are, so counts of each task would grow with both.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrived = [b.select(["member", "node"]) for b in batches if b.num_rows]
         if not arrived:
@@ -172,6 +174,7 @@ def full_sets(docs: DataFrame, alive: DataFrame) -> DataFrame:
     else:
         keys = alive.select("node")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", SET_BYTES):
             sets = list(Words(batch.column("text"), BLANKS).shingle_sets(WIDTH))
@@ -206,35 +209,27 @@ def choose_matches(weights: np.ndarray, alpha: int, n: int) -> int:
         matches = min(2 * matches, alpha)
 
 
-RANKED = "node long, n long, held long, matches long, keys array<long>, prefix array<long>"
-
-
 def ranked_prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """Prefixes of the nodes in the order from rare to frequent members.
 
     ``keys`` is the shortest prefix and ``prefix`` the one for ``matches``, both
-    without members that no other node holds; ``held`` counts all others.
+    without members that no other node holds; ``held`` counts all others.  Only
+    the frequencies go to Python.
     """
     postings = sets.select("node", "n", F.explode("members").alias("member"))
     often = postings.groupBy("member").agg(F.count("*").alias("df")).where("df > 1")
     lists = postings.join(often, "member").groupBy("node").agg(F.max("n").alias("n"), F.collect_list(F.struct("df", "member")).alias("held"))
     linked = lists.where(F.size("held") >= _needed(F.col("n"), percent)).select("node", "n", F.array_sort("held").alias("held"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = {c: [] for c in ("held", "matches", "keys", "prefix")}
-            for n, held in zip(batch.column("n").to_pylist(), batch.column("held"), strict=True):
-                weights, members = (np.asarray(held.values.field(i)) for i in (0, 1))
-                alpha = needed(n, percent)
-                matches = choose_matches(weights, alpha, n)
-                shortest = len(members) - alpha + 1
-                for c, v in (("held", len(members)), ("matches", matches), ("keys", members[:shortest]), ("prefix", members[: shortest + matches - 1])):
-                    rows[c].append(v)
-            longs = pa.list_(pa.int64())
-            columns = [batch.column("node"), batch.column("n"), pa.array(rows["held"], pa.int64()), pa.array(rows["matches"], pa.int64()), pa.array(rows["keys"], longs), pa.array(rows["prefix"], longs)]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "held", "matches", "keys", "prefix"])
+    def best(n: pa.Array, weights: pa.Array) -> pa.Array:
+        found = [choose_matches(np.asarray(w.values), needed(size, percent), size) for size, w in zip(n.to_pylist(), weights, strict=True)]
+        give_back()
+        return pa.array(found, pa.int64())
 
-    return linked.mapInArrow(run, RANKED)
+    shortest = F.col("held") - _needed(F.col("n"), percent) + 1
+    chosen = linked.select("node", "n", F.size("held").cast("long").alias("held"), F.arrow_udf(best, "long")("n", "held.df").alias("matches"), F.col("held.member").alias("members"))
+    first = lambda length: F.slice("members", F.lit(1), length.cast("int"))
+    return chosen.select("node", "n", "held", "matches", first(shortest).alias("keys"), first(shortest + F.col("matches") - 1).alias("prefix"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -354,6 +349,7 @@ class Piece:
 def candidate_pairs(pieces: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, known) out of all pieces of work."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanledger.llm.common import PIECE_BYTES, free_name, narrow, staged, text_slices
+from scanledger.llm.common import PIECE_BYTES, free_name, narrow, released, staged, text_slices
 from scanledger.llm.words import BLANKS, Words, mix
 
 SYMBOLS = b"#*$%&|<>"
@@ -89,6 +89,7 @@ def measure(docs: DataFrame, text_col: str, names: dict[str, str], drop_text: bo
     kept = [c for c in docs.columns if not (drop_text and c == text_col)]
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept] + [f"`{names[c]}` long" for c in COUNTS])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_col, PIECE_BYTES):
             found = count_texts(batch.column(text_col))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from scanledger.llm import bpe, chat, credentials, decontamination, jaccard, licenses, passages, quality, toxicity, wavelet
+from scanledger.llm.common import released
 from scanledger.llm.components import components
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, node long, n long"
@@ -88,6 +89,37 @@ def test_bpe_forgets_by_age():
     assert sorted(learnt) == ["a", "b", "b", "c", "d", "e"] or learnt.count("a") == 1
 
 
+def test_workers_forget_chunks(spark):
+    """What a task of byte pairs learnt is not carried into the tasks of other stages."""
+    texts = [(i, " ".join(words(i, 500, 10**6))) for i in range(40)]
+    bpe.encode_texts(documents(spark, texts), public_tokenizers.path("byte_bpe_50k.json")).agg(F.sum("n_tokens")).collect()
+
+    def learnt(batches):
+        for _ in batches:
+            pass
+        tables = [t for c in bpe._coders.values() for m in (c.known, c.merged) for t in (m.new, m.old)]
+        yield pa.RecordBatch.from_pydict({"n": pa.array([sum(map(len, tables))], pa.int64())})
+
+    assert spark.range(0, 64, 1, 16).mapInArrow(learnt, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_freed_memory_goes_back():
+    """Memory that a task freed below something that stays is not kept by the worker."""
+    pages = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096  # noqa: E731, SIM115
+    stays = []
+
+    def run(batches):
+        for batch in batches:
+            pieces = [bytes(1000) for _ in range(200_000)]
+            stays.append(bytes(1000))
+            del pieces
+            yield batch
+
+    before = pages()
+    assert [b.num_rows for b in released(run)(iter([pa.RecordBatch.from_pydict({"a": [1, 2]})]))] == [2]
+    assert pages() - before < 50 << 20
+
+
 def test_wavelet_files(spark, awkward):
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
