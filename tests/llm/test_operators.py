@@ -554,6 +554,46 @@ def test_strangers_between_near_copies_do_not_hide_them(spark):
     assert found == {(1000 * i + a, 1000 * i + b) for i in range(cases) for a, b in ((500, 999), (999, 500))}
 
 
+def test_short_near_copies_are_found_among_strangers(spark, monkeypatch):
+    """Pieces of 44 words that hold all shingles of two copies of 56 words, and end where they do, stand in documents before, between and behind them."""
+    texts, cases = [], 8
+    for i in range(cases):
+        passage = [f"p{i}x{w}" for w in words(300 + i, 56, 10**6)]
+        copy = [f"changed{i}" if j == 28 else w for j, w in enumerate(passage)]
+        for j, said in ((500, passage), (1999, copy)):
+            texts.append((4000 * i + j, " ".join([f"b{i}y{j}z{w}" for w in words(7, 70)] + said + [f"a{i}y{j}z{w}" for w in words(8, 50)])))
+        for piece, start in enumerate(range(0, 13, 2)):
+            for j, said in [(x + 10 * piece + c, (copy, passage)[c % 2]) for x in (100, 1000, 2100) for c in range(5)]:
+                texts.append((4000 * i + j, " ".join([f"c{i}y{j}z{w}" for w in words(900 + j, 60)] + said[start : start + 44] + [f"d{i}y{j}z{w}" for w in words(1900 + j, 60)])))
+    wanted = {(4000 * i + a, 4000 * i + b) for i in range(cases) for a, b in ((500, 1999), (1999, 500))}
+    for sent in (passages.SENT_IDS, 0):
+        monkeypatch.setattr(passages, "SENT_IDS", sent)
+        assert {(r.doc_id, r.partner_id) for r in passages.repeated_passages(documents(spark, texts)).collect()} == wanted
+
+
+@pytest.mark.parametrize("percent", [80, 89, 100])
+def test_open_runs(percent):
+    """Every long stretch that is dense with places and free of known passages lies in one that is found; its ends are places, if it is not the shortest."""
+    random, least = np.random.default_rng(percent), 10
+    for _ in range(100):
+        hits = [random.random(int(random.integers(0, 60))) < random.choice([0.5, 0.9, 1]) for _ in range(4)]
+        doc, place = (np.concatenate(x) for x in zip(*((np.full(h.sum(), 7 * d - 7), np.flatnonzero(h)) for d, h in enumerate(hits)), strict=True))
+        spans = [(7 * int(random.integers(0, 6)) - 7, s, s + int(random.integers(0, 9))) for s in random.integers(0, 60, int(random.integers(0, 4))).tolist()]
+        found = list(zip(*(x.tolist() for x in passages.open_runs(doc, place, *np.array(spans, np.int64).reshape(-1, 3).T, least, percent)), strict=True))
+        for d, hit in enumerate(hits):
+            free = hit.copy()
+            for of, s, e in spans:
+                if of == 7 * d - 7:
+                    free[s : e + 1] = False
+            known = {p for of, s, e in spans if of == 7 * d - 7 for p in range(s, e + 1)}
+            for s in range(len(hit)):
+                for e in range(s + least, len(hit) + 1):
+                    ends = e - s == least or free[s] and free[e - 1]
+                    if ends and 100 * free[s:e].sum() >= percent * (e - s) and not known & set(range(s, e)):
+                        assert any(of == 7 * d - 7 and a <= s and e - 1 <= b for of, a, b in found)
+        assert all(of in {-7, 0, 7, 14} and 0 <= s <= e for of, s, e in found)
+
+
 def test_only_texts_with_a_wanted_stretch_are_moved(spark, monkeypatch):
     """With more documents than are sent with their stretches, others are left out before texts are shuffled."""
     texts = [(i, " ".join(words(i, 60, 10**6))) for i in range(20)]
@@ -580,6 +620,28 @@ def test_blocks_give_back_their_rows():
             assert sorted(found) == sorted(zip(part.tolist(), *(c.tolist() for c in columns), strict=True))
 
 
+def test_blocks_give_back_steps():
+    rng = np.random.default_rng(0)
+    for kinds in (passages.SHINGLE, passages.PLACE, passages.SPAN):
+        part = rng.integers(0, 7, 5000).astype(np.int32)
+        columns = [rng.integers(np.iinfo(k).min, np.iinfo(k).max, 5000, dtype=np.dtype(k).newbyteorder("=")) for k in kinds]
+        held = [x for b in passages.blocks(part, True, columns, kinds) for x in b.column("block").to_pylist()]
+        assert sorted(zip(*(c.tolist() for c in passages.unpacked(held, kinds)), strict=True)) == sorted(zip(*(c.tolist() for c in columns), strict=True))
+
+
+def test_stretches_with_many_partners_are_compared_in_lots(spark, monkeypatch):
+    texts = [(i, " ".join(words(i, 60, 10**6) + words(99, 90, 10**6) + words(100 + i, 60, 10**6))) for i in range(12)]
+    source = documents(spark, [*texts, texts[0]]).select("doc_id", "text")
+    found = spark.createDataFrame([(i, 32, 191, j, 32, 191) for j in (0, 5) for i in range(12) if i != j], passages.REGION_SCHEMA)
+    expected = {(a, j) for j in (0, 5) for a in range(12) if a != j}
+    for partners in (3, passages.PARTNERS):
+        monkeypatch.setattr(passages, "PARTNERS", partners)
+        rows = passages.compared(source, found, passages.LEAST, 80).collect()
+        assert {(r.a, r.b) for r in rows} == expected and {(r.sa, r.ea, r.sb, r.eb, r.similarity) for r in rows} == {(60, 145, 60, 145, 1.0)}
+        assert len(rows) == 11 * 2 + 11 + 1
+    assert max(r["n"] for r in passages.slices(source, found).where("b IS NULL").groupBy("doc").agg(F.countDistinct("lot").alias("n")).collect()) == 1
+
+
 def test_compact_windows():
     rng = np.random.default_rng(0)
     for least in (2, 5):
