@@ -92,7 +92,7 @@ def results_file(spark, sf_dir):
     """Final results as JSON lines, some with an error, written and read back."""
     folder = queries._run_folder(spark, "results-file")
     results = derived.results(spark, sf_dir).withColumn("error", F.when(F.expr(f"{queries._ID} % 10 = 0"), F.lit("failed")))
-    sinks.write_final_results(results, folder)
+    sinks.write_final_results(results, folder, compression="gzip")
     back = read_results(spark, folder)
     empty = back.fillna("", ["raw_text", "no_comparison_text", "findings_text"]).withColumns(
         {

@@ -21,12 +21,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(escape='"', **kept).csv(path, header=True)
 
 
-def write_final_results(combined: DataFrame, path: str) -> None:
-    """One JSON object per line; rows with an error keep only it and the time."""
+def write_final_results(combined: DataFrame, path: str, compression: str = "none") -> None:
+    """One JSON object per line; rows with an error keep only it and the time.
+
+    A result says a report's text several times, so ``compression="gzip"`` makes the files a fraction as large.
+    """
     failed = F.col("error").isNotNull()
     columns = [c for c in combined.columns if c not in ("report_id", "error", "processing_time")]
     shown = [F.when(~failed, F.col(c)).alias(c) for c in columns]
-    combined.select("report_id", "error", *shown, "processing_time").write.mode("overwrite").json(path)
+    combined.select("report_id", "error", *shown, "processing_time").write.mode("overwrite").json(path, compression=compression)
 
 
 def write_wide_labels(results: DataFrame, names: Sequence[str], path: str) -> None:

@@ -1,5 +1,6 @@
 import csv
 import json
+from pathlib import Path
 
 import pytest
 
@@ -149,6 +150,17 @@ def test_label_files(spark, tmp_path):
     assert rows[0]["evidence"]["fracture"][0] == "Rib fracture." and rows[0]["evidence"]["ascites"] == []
 
 
+def test_results_file_is_no_larger_than_its_texts(spark, tmp_path):
+    """A report's text stands in a result several times; the files are packed, and all of it is read back."""
+    texts = [" ".join(f"word{(i * j * 7919) % 9973}" for j in range(1, 400)) for i in range(1, 61)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    folders = set((Path(spark.conf.get("spark.checkpoint.dir")) / "scanledger").glob("results-file-*"))
+    rows = results_file(spark, str(tmp_path)).collect()
+    (folder,) = set((Path(spark.conf.get("spark.checkpoint.dir")) / "scanledger").glob("results-file-*")) - folders
+    assert sum(f.stat().st_size for f in folder.glob("part-*")) < sum(map(len, texts))
+    assert {r.report_id: texts[int(r.report_id)] in r.raw_text for r in rows} == {str(i): i % 10 > 0 for i in range(60)}
+
+
 def test_results_file_moves_no_text_when_read_back(spark, tmp_path):
     """Each row comes once for every row of its id; rows without an id are left out; the texts lie where they were read."""
     rows = [(1, "a b"), (1, "c d"), (20, "e"), (3, None), (None, "f")]
